@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ranklight.operators.experiment import assign_variant
 from ranklight.operators.interactions import split_sides, temporal_split
 from ranklight.plans.prepare import clean_interactions
+from ranklight.session import settle
 from ranklight.sources.logs import derive_columns
 
 LATEST = (
@@ -19,6 +20,9 @@ LATEST = (
     "rating",
 )
 
+# The ship dates start in 1992, before the range the checks accept by default.
+TIME_RANGE_MS = (694224000000, 1798761599000)
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -64,11 +68,18 @@ def clean(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def split(spark: SparkSession, sf: str) -> DataFrame:
-    return temporal_split(clean(spark, sf))
+    return temporal_split(settle(clean(spark, sf), "clean"))
+
+
+_WRITTEN: dict[tuple[str, str], DataFrame] = {}
 
 
 def train_test(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    return split_sides(split(spark, sf))
+    """The prepared tables, written once per session and data set, as later jobs read them."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _WRITTEN:
+        _WRITTEN[key] = settle(split(spark, sf), "split")
+    return split_sides(_WRITTEN[key])
 
 
 def train(spark: SparkSession, sf: str) -> DataFrame:

@@ -240,20 +240,20 @@ negatives AS (
   JOIN unseen u ON u.user_id = d.user_id AND u.place = d.place WHERE d.slot < d.free)
 """
 
-# Two-sided normal p by the polynomial 7.1.26 (fixed values, Abramowitz and Stegun).
 _TEST = """
-  CASE WHEN pooled IS NULL OR pooled * (1 - pooled) = 0 THEN 0
+  CASE WHEN pooled > 1 THEN NULL WHEN pooled IS NULL OR pooled * (1 - pooled) = 0 THEN 0
     ELSE (clicks_b / n_b::DOUBLE - clicks_a / n_a::DOUBLE)
       / sqrt(pooled * (1 - pooled) * (1 / n_a::DOUBLE + 1 / n_b::DOUBLE)) END"""
+# Two-sided normal p by the series erf(x) = exp(-x^2) * sum x^(2n+1) / gamma(n + 3/2).
 _P = """
-  (0.254829592 * t - 0.284496736 * t ** 2 + 1.421413741 * t ** 3 - 1.453152027 * t ** 4
-    + 1.061405429 * t ** 5) * exp(-z * z / 2)"""
+  2 * (1 - 0.5 * (1 + exp(-x * x) * (
+    SELECT sum(x ** (2 * n + 1) / gamma(n + 1.5::DOUBLE)) FROM range(0, 150) s(n))))"""
 
 
 def _tested(source: str) -> str:
     return f"""
     SELECT *, {_P} AS p FROM (
-      SELECT *, 1 / (1 + 0.3275911 * abs(z) / sqrt(2.0::DOUBLE)) AS t FROM (
+      SELECT *, CASE WHEN z IS NOT NULL THEN least(abs(z) / sqrt(2.0::DOUBLE), 6) END AS x FROM (
         SELECT *, {_TEST} AS z FROM (
           SELECT *, (clicks_a + clicks_b) / (n_a + n_b)::DOUBLE AS pooled FROM {source})))"""
 
@@ -268,7 +268,7 @@ def _sides(source: str) -> str:
 
 def _readout(source: str) -> str:
     return f"""
-    SELECT clicks_a, n_a, clicks_b, n_b, round(z, 4) AS z, round(p, 3) AS p, p < 0.05 AS significant,
+    SELECT clicks_a, n_a, clicks_b, n_b, round(z, 4) AS z, round(p, 4) AS p, round(p, 4) < 0.05 AS significant,
       round((clicks_b / n_b::DOUBLE - clicks_a / n_a::DOUBLE)
         / greatest(clicks_a / n_a::DOUBLE, 1e-9), 6) AS lift
     FROM ({_tested(_sides(source))})"""
@@ -525,10 +525,10 @@ BODIES: dict[str, str] = {
           FROM train WHERE user_id % 3 <> 0 GROUP BY item_id) p,
           (SELECT avg(rating) AS mean FROM train WHERE user_id % 3 <> 0) m
         WHERE p.rank <= 10 AND c_custkey NOT IN (SELECT user_id FROM train WHERE user_id % 3 <> 0)""",
-    "l2_normalise": """SELECT item_id,
-        round(embedding[1] / sqrt(list_inner_product(embedding, embedding)), 5) AS first,
-        round(embedding[len(embedding)] / sqrt(list_inner_product(embedding, embedding)), 5) AS last
-        FROM vectors""",
+    "l2_normalise": """SELECT item_id, round(sqrt(list_inner_product(u, u)), 4) AS norm,
+        round(list_inner_product(u, embedding) / sqrt(list_inner_product(embedding, embedding)), 4) AS cosine
+        FROM (SELECT *, list_transform(embedding, lambda x: x / sqrt(list_inner_product(embedding, embedding))) AS u
+          FROM vectors)""",
     "item_neighbours": """SELECT item_id, neighbour_id, round(similarity, 6) AS similarity, rank
         FROM nearest WHERE rank <= 10""",
     "neighbour_table": """SELECT item_id, neighbour_id, round(similarity, 6) AS similarity, rank
@@ -601,7 +601,7 @@ BODIES: dict[str, str] = {
     "ab_conversion_attributed": """SELECT variant, n, clicks,
         CASE WHEN n = 0 THEN -1 ELSE round(clicks / n::DOUBLE, 6) END AS conversion_rate FROM attributed_table""",
     "attributed_feedback": "SELECT event_id, action, variant, predicted_at FROM attributed",
-    "two_proportion_z": f"""SELECT segment, clicks_a, n_a, clicks_b, n_b, round(z, 4) AS z, round(p, 3) AS p
+    "two_proportion_z": f"""SELECT segment, clicks_a, n_a, clicks_b, n_b, round(z, 4) AS z, round(p, 4) AS p
         FROM ({_tested('sides')})""",
     "experiment_readout": f"{_readout('attributed_table')} UNION ALL {_readout('user_table')}",
     "sample_size": """SELECT segment, round(b, 6) AS base_rate, 0.01::DOUBLE AS effect,

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from checks import bindings as b
 from ranklight.functions import text
+from ranklight.functions.vectors import dot, norm
 from ranklight.operators import alerts, drift, evaluate, experiment, monitoring, promotion, quality
 from ranklight.operators import features as feat
 from ranklight.operators import interactions as prep
@@ -354,7 +355,8 @@ def dataset_summary(spark, sf):
 @query
 def prepare_interactions(spark, sf):
     folder = scratch_path(spark, "prepared")
-    run_preparation(b.interactions(spark, sf), b.metadata(spark, sf), folder, order=b.LATEST)
+    reviews, items = b.interactions(spark, sf), b.metadata(spark, sf)
+    run_preparation(reviews, items, folder, order=b.LATEST, range_ms=b.TIME_RANGE_MS)
     train, test, _ = tables.read_splits(spark, folder)
     sides = train.withColumn("split", F.lit("train")).unionByName(
         test.withColumn("split", F.lit("test"))
@@ -644,11 +646,11 @@ def l2_normalise(spark, sf):
     scaled = b.item_vectors(spark, sf).withColumn(
         "embedding", F.transform("embedding", lambda x: x * (F.col("item_id") % 5 + 1).cast("float"))
     )
-    unit = sim.normalised(scaled)
-    return unit.select(
-        "item_id",
-        F.round(F.element_at("embedding", 1).cast("double"), 5).alias("first"),
-        F.round(F.element_at("embedding", -1).cast("double"), 5).alias("last"),
+    unit = sim.normalised(scaled).withColumnRenamed("embedding", "unit")
+    both = unit.join(b.item_vectors(spark, sf), "item_id")
+    cosine = dot(F.col("unit"), F.col("embedding")) / norm(F.col("embedding"))
+    return both.select(
+        "item_id", F.round(norm(F.col("unit")), 4).alias("norm"), F.round(cosine, 4).alias("cosine")
     )
 
 
@@ -946,21 +948,16 @@ def _segments(spark, sf):
 @query
 def two_proportion_z(spark, sf):
     sides = experiment.experiment_readout(_segments(spark, sf), ["segment"])
-    tested = experiment.two_proportion_test(
+    return experiment.two_proportion_test(
         sides.select("segment", "clicks_a", "n_a", "clicks_b", "n_b")
     )
-    return tested.withColumn("p", F.round("p", 3))
 
 
 @query
 def experiment_readout(spark, sf):
     table = experiment.ab_conversion_attributed(b.predictions(spark, sf), b.feedback(spark, sf))
-    read = experiment.experiment_readout(table).unionByName(
-        experiment.experiment_readout(
-            experiment.ab_conversion(b.predictions(spark, sf), b.feedback(spark, sf))
-        )
-    )
-    return read.withColumn("p", F.round("p", 3))
+    other = experiment.ab_conversion(b.predictions(spark, sf), b.feedback(spark, sf))
+    return experiment.experiment_readout(table).unionByName(experiment.experiment_readout(other))
 
 
 @query

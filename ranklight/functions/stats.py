@@ -47,11 +47,16 @@ def normal_quantile(p: Column) -> Column:
 
 
 def two_proportion_z(clicks_a: Column, n_a: Column, clicks_b: Column, n_b: Column) -> Column:
-    """Pooled z of rate B minus rate A, 4 decimals; 0 without data or spread."""
+    """Pooled z of rate B minus rate A; 0 without data or spread.
+
+    Null when the counts are no proportions (more clicks than observations in all).
+    """
     pooled = F.try_divide((clicks_a + clicks_b).cast("double"), (n_a + n_b).cast("double"))
-    spread = F.sqrt(pooled * (1.0 - pooled) * (F.try_divide(F.lit(1.0), n_a) + F.try_divide(F.lit(1.0), n_b)))
+    sizes = F.try_divide(F.lit(1.0), n_a) + F.try_divide(F.lit(1.0), n_b)
+    variance = pooled * (1.0 - pooled) * sizes
     gap = F.try_divide(clicks_b.cast("double"), n_b) - F.try_divide(clicks_a.cast("double"), n_a)
-    return F.coalesce(F.try_divide(gap, spread), F.lit(0.0))
+    z = F.coalesce(F.try_divide(gap, F.sqrt(variance)), F.lit(0.0))
+    return F.when(variance < 0, F.lit(None)).otherwise(z)
 
 
 def two_sided_p(z: Column) -> Column:

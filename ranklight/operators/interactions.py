@@ -63,9 +63,14 @@ def filter_min_items(df: DataFrame, min_interactions: int = 5) -> DataFrame:
 def preprocess(
     df: DataFrame, min_interactions: int = 5, order: Sequence[str] = ("timestamp",)
 ) -> DataFrame:
-    """Deduplicate, then drop rare users, then rare items: one pass, not an iterated core."""
+    """Deduplicate, then drop rare users, then rare items: one pass, not an iterated core.
+
+    Rows without user or item are never frequent; dropping them first lets all counts
+    read the same deduplicating exchange.
+    """
     require_columns(df, INTERACTION_COLUMNS, "interactions")
-    pairs = _latest(df, order)
+    known = df.filter(F.col("user_id").isNotNull() & F.col("item_id").isNotNull())
+    pairs = _latest(known, order)
     pairs = _filter_min(pairs, "user_id", min_interactions, "latest")
     pairs = _filter_min(pairs, "item_id", min_interactions, "latest")
     return _unpack(pairs, INTERACTION_COLUMNS)

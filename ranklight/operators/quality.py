@@ -12,8 +12,7 @@ from ranklight.schemas import INTERACTION_COLUMNS
 
 # The accepted time range, 1996-01-01 00:00:00 to 2026-12-31 23:59:59
 # UTC in milliseconds, and the magnitudes that tell the time unit.
-TIME_MIN_MS = 820454400000
-TIME_MAX_MS = 1798761599000
+TIME_RANGE_MS = (820454400000, 1798761599000)
 SYNTHETIC_BELOW = 1_000_000_000
 MILLISECONDS_ABOVE = 1_000_000_000_000
 RATING_MIN = 1
@@ -62,12 +61,13 @@ def _outside(low: int, high: int) -> Column:
     return F.count_if((F.col("timestamp") < low) | (F.col("timestamp") > high))
 
 
-def timestamp_range(df: DataFrame) -> DataFrame:
+def timestamp_range(df: DataFrame, range_ms: tuple[int, int] = TIME_RANGE_MS) -> DataFrame:
     """The unit is told from the largest value; both readings are counted in one pass."""
+    low, high = range_ms
     found = df.agg(
         F.max("timestamp").alias("latest"),
-        _outside(TIME_MIN_MS, TIME_MAX_MS).alias("as_ms"),
-        _outside(TIME_MIN_MS // 1000, TIME_MAX_MS // 1000).alias("as_s"),
+        _outside(low, high).alias("as_ms"),
+        _outside(low // 1000, high // 1000).alias("as_s"),
     )
     n = (
         F.when(F.col("latest") < SYNTHETIC_BELOW, F.lit(0))
@@ -123,12 +123,11 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def check_reviews(df: DataFrame) -> DataFrame:
+def check_reviews(df: DataFrame, range_ms: tuple[int, int] = TIME_RANGE_MS) -> DataFrame:
     if set(INTERACTION_COLUMNS) - set(df.columns):
         return required_columns(df)
-    return _union(
-        [required_columns(df), nulls(df), rating_range(df), duplicate_pairs(df), timestamp_range(df)]
-    )
+    checks = [required_columns(df), nulls(df), rating_range(df), duplicate_pairs(df)]
+    return _union([*checks, timestamp_range(df, range_ms)])
 
 
 def check_metadata(metadata: DataFrame) -> DataFrame:

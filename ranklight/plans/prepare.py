@@ -33,6 +33,7 @@ def prepare_interactions(
     min_interactions: int = MIN_INTERACTIONS,
     test_ratio: float = TEST_RATIO,
     order: Sequence[str] = ("timestamp",),
+    range_ms: tuple[int, int] = quality.TIME_RANGE_MS,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Align, clean, check, split, check again, and write the three tables if asked.
 
@@ -41,7 +42,7 @@ def prepare_interactions(
     """
     reviews, metadata = prep.align_catalog(reviews, metadata)
     clean = settle(prep.preprocess(reviews, min_interactions, order), "clean")
-    quality.assert_passed(quality.check_reviews(clean), "review checks failed")
+    quality.assert_passed(quality.check_reviews(clean, range_ms), "review checks failed")
     quality.assert_passed(quality.check_metadata(metadata), "metadata checks failed")
 
     split = settle(prep.temporal_split(clean, test_ratio), "split")
