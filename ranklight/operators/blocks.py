@@ -136,21 +136,22 @@ def _matrix(vectors: pa.Array) -> np.ndarray:
 
 def _cell_worker(n: int, exclude_self: bool, digits: int | None):
     def best(queries: np.ndarray, items: np.ndarray, banned: tuple[np.ndarray, np.ndarray] | None):
-        # Rounded scores are compared, so they are computed in double precision.
+        # Losses are negated products: the smallest n per row are wanted. Rounded
+        # products are compared exactly, so they are computed in double precision.
         kind = np.float32 if digits is None else np.float64
-        scores = (queries.astype(kind) @ items.astype(kind).T).astype(np.float64)
+        losses = np.negative(queries, dtype=kind) @ items.astype(kind).T
         if digits is not None:
-            scores = np.round(scores, digits)
+            losses = np.round(losses, digits)
         if banned is not None:
-            scores[banned] = -np.inf
-        keep = min(n, scores.shape[1])
-        limit = -np.partition(-scores, keep - 1, axis=1)[:, keep - 1]
-        row, col = np.nonzero((scores >= limit[:, None]) & np.isfinite(scores))
-        order = np.lexsort((col, -scores[row, col], row))
-        row, col = row[order], col[order]
-        place = np.arange(len(row)) - np.searchsorted(row, row, side="left")
-        row, col = row[place < keep], col[place < keep]
-        return row, col, scores[row, col]
+            losses[banned] = np.inf
+        keep = min(n, losses.shape[1])
+        limit = np.partition(losses, keep - 1, axis=1)[:, keep - 1]
+        row, col = np.nonzero((losses <= limit[:, None]) & (losses < np.inf))
+        loss = losses[row, col].astype(np.float64)
+        order = np.lexsort((col, loss, row))
+        row, col, loss = row[order], col[order], loss[order]
+        first = np.arange(len(row)) - np.searchsorted(row, row, side="left") < keep
+        return row[first], col[first], 0.0 - loss[first]
 
     def positions(ids: pa.Array, wanted: pa.Array) -> np.ndarray:
         return pa.compute.index_in(wanted, value_set=ids).to_numpy(zero_copy_only=False)

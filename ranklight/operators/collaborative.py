@@ -146,12 +146,21 @@ def popular_for(users: DataFrame, train: DataFrame, n: int) -> DataFrame:
     )
 
 
+def users_with_candidates(model: CollaborativeModel, users: DataFrame) -> DataFrame:
+    """The users whose unseen list is not empty: known ones that have not met every item."""
+    total = model.item_factors.agg(F.count(F.lit(1))).scalar()
+    met = model.train.select("user_id", "item_id").distinct()
+    full = met.groupBy("user_id").agg(F.count(F.lit(1)).alias("_met")).filter(F.col("_met") >= total)
+    known = users.join(model.user_factors.select("user_id"), "user_id", "left_semi")
+    return known.join(full.select("user_id"), "user_id", "left_anti")
+
+
 def recommend(model: CollaborativeModel, users: DataFrame, n: int = 10) -> DataFrame:
     """Unseen top n for every user; popular items where that list would be empty."""
     wanted = users.select("user_id").distinct()
-    lists = als_top_n(model, n, users=wanted)
-    without = wanted.join(lists.select("user_id").distinct(), "user_id", "left_anti")
-    return lists.unionByName(popular_for(without, model.train, n))
+    served = users_with_candidates(model, wanted)
+    without = wanted.join(served, "user_id", "left_anti")
+    return als_top_n(model, n, users=served).unionByName(popular_for(without, model.train, n))
 
 
 def search_settings(grid: Mapping[str, Sequence] = SEARCH_GRID) -> list[dict]:

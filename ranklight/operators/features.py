@@ -155,9 +155,10 @@ def negative_samples(
     pairs = train.select("user_id", "item_id", "rating")
     if users is not None:
         pairs = pairs.join(users.select("user_id").distinct(), "user_id", "left_semi")
-    seen = (
-        pairs.select("user_id", "item_id").distinct().join(catalogue, "item_id")
-    ).select("user_id", F.col("_index").cast("bigint").alias("_index"))
+    met = pairs.select("user_id", "item_id").distinct()
+    seen = met.join(catalogue, "item_id").select(
+        "user_id", F.col("_index").cast("bigint").alias("_index")
+    )
 
     ranked = row_numbers(
         seen, ["user_id"], F.floor(F.col("_index") / _INDEX_BUCKET), ["_index"], "_position"
@@ -175,7 +176,7 @@ def negative_samples(
     )
 
     total = catalogue.agg(F.count(F.lit(1))).scalar()
-    free = seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("_seen"))
+    free = met.groupBy("user_id").agg(F.count(F.lit(1)).alias("_seen"))
     liked = pairs.filter(F.col("rating") >= LIKED_RATING).select("user_id", "item_id").distinct()
     liked = liked.join(free, "user_id").withColumn("_free", total - F.col("_seen"))
     names = [f"_draw{slot}" for slot in range(neg_ratio)]

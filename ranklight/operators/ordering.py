@@ -8,7 +8,7 @@ thereby spread over as many tasks as it has buckets.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 _OCTAVE_STEPS = 256
 _SHIFT = 200_000
+_LOWEST = -(2**62)
 
 
 def value_bucket(value: Column) -> Column:
@@ -33,10 +34,16 @@ def bucket_offsets(
 ) -> DataFrame:
     """Per (keys, bucket): each sum here, over the earlier buckets, and over the whole key."""
     partial = df.groupBy(*keys, bucket).agg(*[F.sum(v).alias(f"_s_{n}") for n, v in sums.items()])
+    return _accumulated(partial, keys, bucket, sums)
+
+
+def _accumulated(
+    partial: DataFrame, keys: Sequence[str], bucket: str, names: Iterable[str]
+) -> DataFrame:
     earlier = W.partitionBy(*keys).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy(*keys)
     columns = []
-    for name in sums:
+    for name in names:
         total = F.sum(f"_s_{name}")
         columns.append(F.col(f"_s_{name}").alias(f"{name}_here"))
         columns.append(F.coalesce(total.over(earlier), F.lit(0)).alias(f"{name}_before"))
@@ -44,6 +51,13 @@ def bucket_offsets(
     return partial.select(*keys, bucket, *columns)
 
 
+def _tagged(df: DataFrame, keys: Sequence[str], bucket: Column) -> DataFrame:
+    tagged = df.withColumn("_bucket", bucket)
+    lowest = "" if tagged.schema["_bucket"].dataType.typeName() == "string" else _LOWEST
+    tagged = tagged.withColumn("_bucket", F.coalesce("_bucket", F.lit(lowest)))
+    return tagged.dropna(subset=list(keys)).repartition(*keys, "_bucket")
+
+
 def running_sums(
     df: DataFrame,
     keys: Sequence[str],
@@ -54,10 +68,19 @@ def running_sums(
 ) -> DataFrame:
     """Add ``name`` (inclusive running sum in total order) and, on request, ``name_total``.
 
-    ``order`` must be total within a key and ``bucket`` must not decrease along it.
+    ``order`` must be total within a key and ``bucket`` must not decrease along it; a
+    null bucket comes first. Rows without a key belong to no sum and are left out.
     """
-    tagged = df.withColumn("_bucket", bucket)
-    offsets = bucket_offsets(tagged, keys, "_bucket", sums)
+    tagged = _tagged(df, keys, bucket)
+    # The checksum makes the bucket totals read every column. Both branches then need
+    # the same exchange, Spark runs it once, and the input is not computed twice.
+    checksum = F.bit_xor(F.xxhash64(*df.columns)).alias("_checksum")
+    partial = (
+        tagged.groupBy(*keys, "_bucket")
+        .agg(checksum, *[F.sum(v).alias(f"_s_{n}") for n, v in sums.items()])
+        .filter(F.col("_checksum").isNotNull())
+    )
+    offsets = _accumulated(partial, keys, "_bucket", sums)
     local = (
         W.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     )
