@@ -669,11 +669,11 @@ BODIES: dict[str, str] = {
         FROM (SELECT "column", sum(gap * coalesce(step, 0)) AS area FROM steps GROUP BY "column")
         JOIN (SELECT "column", stddev_pop(value) AS spread FROM longlog WHERE part = 'reference'
           GROUP BY "column") USING ("column")""",
-    "drift_result_rows": """SELECT event_type, 'hour_' || h AS "column", round(m, 4) AS drift_score,
-        m > 50 AS drift_detected, 'mean' AS method,
-        count(*) FILTER (m > 50) OVER w > 12 AS dataset_drift,
-        round(count(*) FILTER (m > 50) OVER w / count(*) OVER w::DOUBLE, 6) AS drift_share
-        FROM (SELECT event_type, hour(ts) AS h, avg(value) AS m FROM events GROUP BY ALL)
+    "drift_result_rows": """SELECT event_type, 'hour_' || h AS "column", m AS drift_score,
+        m > 200 AS drift_detected, 'peak' AS method,
+        count(*) FILTER (m > 200) OVER w > 12 AS dataset_drift,
+        round(count(*) FILTER (m > 200) OVER w / count(*) OVER w::DOUBLE, 6) AS drift_share
+        FROM (SELECT event_type, hour(ts) AS h, max(value) AS m FROM events GROUP BY ALL)
         WINDOW w AS (PARTITION BY event_type)""",
     "alert_drift": """SELECT 'drift' AS name, s > 0.3 AS triggered, round(s, 4) AS observed
         FROM (SELECT avg(drift_detected::INT::DOUBLE) AS s FROM reportrows)""",
@@ -754,4 +754,26 @@ BODIES: dict[str, str] = {
         FROM (SELECT DISTINCT user_id, ts FROM events) GROUP BY user_id""",
 }
 
-ORACLES: dict[str, str] = {name: VIEWS + body for name, body in BODIES.items()}
+
+
+def _round_as_text(sql: str) -> str:
+    """Round results by their decimal digits, half up, as Spark does, not by their binary value."""
+    out, at = "", 0
+    while (start := sql.find("round(", at)) >= 0:
+        depth, end = 0, start + len("round(") - 1
+        for end in range(end, len(sql)):
+            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            if depth == 0:
+                break
+        inner = sql[start + len("round("):end]
+        value, digits = inner.rsplit(",", 1)
+        value = _round_as_text(value)
+        if digits.strip() in ("4", "5", "6"):
+            call = f"CAST(round(CAST({value} AS DECIMAL(38, 12)), {digits.strip()}) AS DOUBLE)"
+        else:
+            call = f"round({value},{digits})"
+        out, at = out + sql[at:start] + call, end + 1
+    return out + sql[at:]
+
+
+ORACLES: dict[str, str] = {name: _round_as_text(VIEWS + body) for name, body in BODIES.items()}
