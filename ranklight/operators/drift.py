@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -21,7 +21,7 @@ SHIFT_LIMIT = 0.5
 VARIATION_LIMIT = 0.1
 SHARE_LIMIT = 0.3
 MIN_ROWS = 20
-_FAR_FUTURE = "9999-12-31 00:00:00"
+_NO_TIME = 253_402_214_400_000_000  # rows without a time sort after all others
 _SERIES_TERMS = 100
 
 
@@ -42,42 +42,44 @@ def reference_current_split(
     """Add ``part``: the earliest share of the rows is the reference.
 
     Only the key of the last reference row is searched for: first its hour, then its
-    second, then its place among the rows of that second. The log itself is labelled
-    in one pass without a sort or an exchange.
+    second, then its place among the rows of that second. Each step brings one row to
+    the driver; the log itself is then labelled in one pass without sort or exchange,
+    however many tests read it.
     """
-    at = F.coalesce(F.col(time).cast("timestamp"), F.lit(_FAR_FUTURE).cast("timestamp"))
-    keyed = dataset.withColumns(
-        {"_at": at, "_tie": F.col(tie), "_second": F.unix_seconds(at)}
-    ).withColumn("_hour", F.floor(F.col("_second") / 3600))
-
+    micros = F.coalesce(F.unix_micros(F.col(time).cast("timestamp")), F.lit(_NO_TIME))
+    keyed = dataset.select(
+        micros.alias("_micros"),
+        F.col(tie).alias("_tie"),
+        F.floor(micros / 1_000_000).alias("_second"),
+        F.floor(micros / 3_600_000_000).alias("_hour"),
+    )
     size = min(max(reference_size, 0.1), 0.9)
     n = F.col("rows_total")
     wanted = F.least(
         F.greatest(F.floor(n * F.lit(float(size))), F.lit(min_rows)), n - F.lit(min_rows)
     )
-    hours = bucket_offsets(keyed, [], "_hour", {"rows": F.lit(1)})
-    hours = hours.withColumn("_wanted", wanted).filter((F.col("_wanted") > 0) & (F.col("_wanted") < n))
-    hour = _cut(hours, "_hour")
+    hours = bucket_offsets(keyed, [], "_hour", {"rows": F.lit(1)}).withColumn("_wanted", wanted)
+    hour = _cut(hours.filter((F.col("_wanted") > 0) & (F.col("_wanted") < n)), "_hour")
+    if hour is None:
+        return dataset.withColumn("part", F.lit("current"))
 
     in_hour = keyed.filter(F.col("_hour") == hour["at"])
     seconds = bucket_offsets(in_hour, [], "_second", {"rows": F.lit(1)})
-    second = _cut(seconds.withColumn("_wanted", hour["left"]), "_second")
+    second = _cut(seconds.withColumn("_wanted", F.lit(hour["left"])), "_second")
+    in_second = in_hour.filter(F.col("_second") == second["at"])
+    place = F.row_number().over(W.partitionBy("_second").orderBy("_micros", "_tie"))
+    last = in_second.withColumn("_place", place).filter(F.col("_place") == second["left"]).first()
 
-    in_second = keyed.filter(F.col("_second") == second["at"])
-    placed = in_second.select(
-        F.struct("_at", "_tie").alias("key"),
-        F.row_number().over(W.partitionBy("_second").orderBy("_at", "_tie")).alias("place"),
-    )
-    last = placed.filter(F.col("place") == second["left"]).select("key").scalar()
-    part = F.when(F.struct("_at", "_tie") <= last, "reference").otherwise("current")
-    return keyed.withColumn("part", part).drop("_at", "_tie", "_second", "_hour")
+    earlier = micros < last["_micros"]
+    tied = (micros == last["_micros"]) & (F.col(tie) <= F.lit(last["_tie"]))
+    return dataset.withColumn("part", F.when(earlier | tied, "reference").otherwise("current"))
 
 
-def _cut(offsets: DataFrame, bucket: str) -> Column:
+def _cut(offsets: DataFrame, bucket: str) -> Row | None:
     """The bucket in which row number ``_wanted`` lies, and what is left to count in it."""
     left = F.col("_wanted") - F.col("rows_before")
     here = offsets.filter((left > 0) & (left <= F.col("rows_here")))
-    return here.select(F.struct(F.col(bucket).alias("at"), left.alias("left"))).scalar()
+    return here.select(F.col(bucket).alias("at"), left.alias("left")).first()
 
 
 def _is(part: str) -> Column:
@@ -129,10 +131,11 @@ def drift_categorical(
     flagged: DataFrame, columns: Sequence[str] = MONITORED_CATEGORICAL
 ) -> DataFrame:
     """Half the summed difference of the value shares; null is its own value."""
-    sizes = _part_sizes(flagged)
-    share_old = F.coalesce(F.try_divide(F.col("old").cast("double"), sizes["old"]), F.lit(0.0))
-    share_new = F.coalesce(F.try_divide(F.col("new").cast("double"), sizes["new"]), F.lit(0.0))
-    scored = _value_counts(flagged, columns).groupBy("column").agg(
+    old, new = F.col("_sizes.old"), F.col("_sizes.new")
+    share_old = F.coalesce(F.try_divide(F.col("old").cast("double"), old), F.lit(0.0))
+    share_new = F.coalesce(F.try_divide(F.col("new").cast("double"), new), F.lit(0.0))
+    counts = _value_counts(flagged, columns).withColumn("_sizes", _part_sizes(flagged))
+    scored = counts.groupBy("column").agg(
         (0.5 * F.sum(F.abs(share_old - share_new))).alias("drift_score")
     )
     return scored.select(
@@ -234,13 +237,14 @@ def drift_ks(flagged: DataFrame, columns: Sequence[str] = MONITORED_NUMERIC) ->
 
 def drift_chi2(flagged: DataFrame, columns: Sequence[str] = MONITORED_CATEGORICAL) -> DataFrame:
     """Chi-squared statistic of the window-by-value table and its degrees of freedom."""
-    sizes = _part_sizes(flagged)
+    all_old, all_new = F.col("_sizes.old"), F.col("_sizes.new")
     row = (F.col("old") + F.col("new")).cast("double")
-    whole = sizes["old"] + sizes["new"]
-    want_old, want_new = row * sizes["old"] / whole, row * sizes["new"] / whole
+    whole = all_old + all_new
+    want_old, want_new = row * all_old / whole, row * all_new / whole
     off_old, off_new = F.col("old") - want_old, F.col("new") - want_new
     cell = F.try_divide(off_old * off_old, want_old) + F.try_divide(off_new * off_new, want_new)
-    return _value_counts(flagged, columns).groupBy("column").agg(
+    counts = _value_counts(flagged, columns).withColumn("_sizes", _part_sizes(flagged))
+    return counts.groupBy("column").agg(
         F.coalesce(F.sum(cell), F.lit(0.0)).alias("statistic"),
         (F.count(F.lit(1)) - 1).alias("degrees"),
     )
