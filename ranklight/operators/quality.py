@@ -47,9 +47,12 @@ def nulls(df: DataFrame) -> DataFrame:
     return long.select(*_check(F.concat(F.lit("null_"), F.col("column")), F.col("n")))
 
 
+def _rating_outside() -> Column:
+    return F.count_if((F.col("rating") < RATING_MIN) | (F.col("rating") > RATING_MAX))
+
+
 def rating_range(df: DataFrame) -> DataFrame:
-    outside = (F.col("rating") < RATING_MIN) | (F.col("rating") > RATING_MAX)
-    return df.agg(F.count_if(outside).alias("n")).select(*_check("rating_range", F.col("n")))
+    return df.agg(_rating_outside().alias("n")).select(*_check("rating_range", F.col("n")))
 
 
 def duplicate_pairs(df: DataFrame) -> DataFrame:
@@ -61,20 +64,26 @@ def _outside(low: int, high: int) -> Column:
     return F.count_if((F.col("timestamp") < low) | (F.col("timestamp") > high))
 
 
-def timestamp_range(df: DataFrame, range_ms: tuple[int, int] = TIME_RANGE_MS) -> DataFrame:
-    """The unit is told from the largest value; both readings are counted in one pass."""
+def _time_measures(range_ms: tuple[int, int]) -> list[Column]:
     low, high = range_ms
-    found = df.agg(
-        F.max("timestamp").alias("latest"),
-        _outside(low, high).alias("as_ms"),
-        _outside(low // 1000, high // 1000).alias("as_s"),
-    )
-    n = (
-        F.when(F.col("latest") < SYNTHETIC_BELOW, F.lit(0))
-        .when(F.col("latest") > MILLISECONDS_ABOVE, F.col("as_ms"))
-        .otherwise(F.col("as_s"))
+    return [
+        F.max("timestamp").alias("_latest"),
+        _outside(low, high).alias("_as_ms"),
+        _outside(low // 1000, high // 1000).alias("_as_s"),
+    ]
+
+
+def _time_outside() -> Column:
+    return (
+        F.when(F.col("_latest") < SYNTHETIC_BELOW, F.lit(0))
+        .when(F.col("_latest") > MILLISECONDS_ABOVE, F.col("_as_ms"))
+        .otherwise(F.col("_as_s"))
     )
-    return found.select(*_check("timestamp_range", n))
+
+
+def timestamp_range(df: DataFrame, range_ms: tuple[int, int] = TIME_RANGE_MS) -> DataFrame:
+    """The unit is told from the largest value; both readings are counted in one pass."""
+    return df.agg(*_time_measures(range_ms)).select(*_check("timestamp_range", _time_outside()))
 
 
 def pair_overlap(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -123,15 +132,47 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _rows(wide: DataFrame, checks: list[list[Column]]) -> DataFrame:
+    """Several checks measured in one aggregate row, as rows."""
+    return wide.select(F.inline(F.array(*[F.struct(*c) for c in checks])))
+
+
 def check_reviews(df: DataFrame, range_ms: tuple[int, int] = TIME_RANGE_MS) -> DataFrame:
+    """All review checks: one pass for the row-wise ones, one grouping for repeated pairs."""
     if set(INTERACTION_COLUMNS) - set(df.columns):
         return required_columns(df)
-    checks = [required_columns(df), nulls(df), rating_range(df), duplicate_pairs(df)]
-    return _union([*checks, timestamp_range(df, range_ms)])
+    wide = df.agg(
+        *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in INTERACTION_COLUMNS],
+        _rating_outside().alias("_rating"),
+        *_time_measures(range_ms),
+    )
+    checks = [_check("required_columns", F.lit(0))]
+    checks += [_check(f"null_{c}", F.col(f"_null_{c}")) for c in INTERACTION_COLUMNS]
+    checks += [
+        _check("rating_range", F.col("_rating")),
+        _check("timestamp_range", _time_outside()),
+    ]
+    return _rows(wide, checks).unionByName(duplicate_pairs(df))
 
 
 def check_metadata(metadata: DataFrame) -> DataFrame:
-    return _union([item_key(metadata), empty_titles(metadata), category(metadata)])
+    """All metadata checks in one pass."""
+    if "item_id" not in metadata.columns:
+        return item_key(metadata)
+    present = set(metadata.columns)
+    wide = metadata.agg(
+        F.count_if(F.col("item_id").isNull()).alias("_key"),
+        (F.count_if(_blank("title")) if "title" in present else F.lit(0)).alias("_titles"),
+        (F.count_if(_blank("main_category")) if "main_category" in present else F.lit(0)).alias("_category"),
+    )
+    return _rows(
+        wide,
+        [
+            _check("item_key", F.col("_key")),
+            _check("empty_titles", F.col("_titles"), F.lit(True)),
+            _check("category", F.col("_category")),
+        ],
+    )
 
 
 def check_leakage(train: DataFrame, test: DataFrame) -> DataFrame:
