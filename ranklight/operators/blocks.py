@@ -65,7 +65,7 @@ def best_products(
     if n <= 0:
         raise ValueError(f"n must be positive, got {n}")
     spark = queries.sparkSession
-    parallelism = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parallelism = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [group] if group else []
 
     if group:
@@ -97,9 +97,7 @@ def best_products(
     packed_right = _packed(right, [*keys, "_chunk", "_stripes"], "i").withColumn(
         "_stripe", F.explode(F.sequence(F.lit(0), F.col("_stripes") - 1))
     )
-    cells = packed_left.drop("_chunks", "_stripes").join(
-        packed_right.drop("_stripes"), [*keys, "_stripe", "_chunk"]
-    )
+    masked = []
     if seen is not None:
         if group:
             raise ValueError("seen rows are not supported together with groups")
@@ -110,11 +108,18 @@ def best_products(
         )
         # Distinct pairs of one cell: at most block size times block size, hashed evenly.
         masks = placed.groupBy("_block", "_chunk").agg(F.collect_set("_pair").alias("_pairs"))
-        cells = cells.join(masks, ["_block", "_chunk"], "left").withColumns(
+        packed_left = packed_left.join(masks, ["_block", "_chunk"], "left").withColumns(
             {"seen_q": F.col("_pairs.q"), "seen_i": F.col("_pairs.i")}
         )
-    cells = cells.select(
-        "q_ids", "q_vectors", "i_ids", "i_vectors", *(["seen_q", "seen_i"] if seen is not None else [])
+        masked = ["seen_q", "seen_i"]
+    # A cell is few bytes but much arithmetic, so the number of partitions is fixed here
+    # instead of being merged by size.
+    cell = [*keys, "_stripe", "_chunk"]
+    cells = (
+        packed_left.select(*cell, "q_ids", "q_vectors", *masked)
+        .repartition(parallelism, *cell)
+        .join(packed_right.select(*cell, "i_ids", "i_vectors").repartition(parallelism, *cell), cell)
+        .select("q_ids", "q_vectors", "i_ids", "i_vectors", *masked)
     )
     schema = T.StructType(
         [
