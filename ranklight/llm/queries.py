@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ranklight.llm import line_dedup, sharding
+from ranklight.llm import isolation, line_dedup, packing, quality_gam, sharding, toxicity
 from ranklight.llm.common import table
 
 
@@ -12,9 +13,32 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(table(spark, sf_dir, "documents"), shards=8)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_gam.quality_digest(docs, labels)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.toxicity_digest(docs, labels)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op9_line_dedup)}
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return isolation.rules_digest(docs, labels)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_sharding, op2_quality, op3_toxicity, op7_packing, op9_line_dedup, op10_quality_rules)
+}
 ORACLES = {"op9_line_dedup": line_dedup.SQL}
