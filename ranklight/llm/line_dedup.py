@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ranklight.llm.common import SPACE, lower_ascii, row_key
+from ranklight.session import settle
 
 
 def lines_of(text: Column) -> Column:
@@ -57,7 +58,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
     text. Rows with one id are one document, each cleaned by itself; equal rows stay equal.
     Other columns pass through; an input column n_lines or n_dropped is replaced.
     """
-    keepers = shared_lines(docs, min_chars, min_docs)
+    # Written first, so that both sides of the join are plain exchanges, whose hot
+    # partitions Spark can split.
+    keepers = settle(shared_lines(docs, min_chars, min_docs), "keepers")
     found = _hashed_lines(docs, min_chars).join(keepers, "hash")
     dropped = (
         found.filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))

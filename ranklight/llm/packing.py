@@ -205,13 +205,17 @@ def _block_packed(items: DataFrame, blocks: int, level: int, capacity: int, isla
     dealt = items.withColumn("block", F.pmod(key, F.lit(blocks)).cast("long"))
     islanded = dealt.withColumn("island", F.explode(F.lit(list(range(islands)))))
 
-    def evolved(key, own: pd.DataFrame, sent: pd.DataFrame, epoch: int) -> pd.DataFrame:
-        if not len(own):
-            return pd.DataFrame({"block": [], "island": [], "bins": []})
-        sizes = _ordered(own)["length"].to_numpy()
-        arrived = [np.asarray(b, int) for b in sent.sort_values("island")["bins"]]
-        best = evolve(sizes, arrived, capacity, [level, epoch, *map(int, key)])
-        return pd.DataFrame({"block": [key[0]], "island": [key[1]], "bins": [best.astype(np.int32)]})
+    def evolution(epoch: int):
+        def evolved(key, own: pd.DataFrame, sent: pd.DataFrame) -> pd.DataFrame:
+            if not len(own):
+                return pd.DataFrame({"block": [], "island": [], "bins": []})
+            sizes = _ordered(own)["length"].to_numpy()
+            arrived = [np.asarray(b, int) for b in sent["bins"]]
+            arrived.sort(key=lambda b: fitness(sizes, b, capacity), reverse=True)
+            best = evolve(sizes, arrived, capacity, [level, epoch, *map(int, key)])
+            return pd.DataFrame({"block": [key[0]], "island": [key[1]], "bins": [best.astype(np.int32)]})
+
+        return evolved
 
     schema = "block long, island int, bins array<int>"
     empty = items.sparkSession.createDataFrame([], schema)
@@ -222,7 +226,7 @@ def _block_packed(items: DataFrame, blocks: int, level: int, capacity: int, isla
         best = (
             islanded.groupBy("block", "island")
             .cogroup(both.groupBy("block", "island"))
-            .applyInPandas(lambda key, a, b, e=epoch: evolved(key, a, b, e), schema)
+            .applyInPandas(evolution(epoch), schema)
         )
 
     def finished(key, own: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ranklight.llm import isolation, line_dedup, packing, quality_gam, sharding, toxicity
+from ranklight.llm import isolation, line_dedup, near_dedup, packing, quality_gam, sharding, toxicity
 from ranklight.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_digest(docs, labels)
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=4, radius=4)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary)
@@ -39,6 +43,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_sharding, op2_quality, op3_toxicity, op7_packing, op9_line_dedup, op10_quality_rules)
+    for f in (
+        op1_sharding,
+        op2_quality,
+        op3_toxicity,
+        op5_simhash_near_dedup,
+        op7_packing,
+        op9_line_dedup,
+        op10_quality_rules,
+    )
 }
 ORACLES = {"op9_line_dedup": line_dedup.SQL}
