@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ranklight.llm import isolation, line_dedup, near_dedup, packing, quality_gam, sharding, toxicity
+from ranklight.llm import decontaminate, isolation, line_dedup, near_dedup, packing, quality_gam, sharding, toxicity
 from ranklight.llm.common import table
 
 
@@ -27,6 +27,11 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=4, radius=4)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.find_leaks(docs, benchmark)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary)
@@ -48,6 +53,7 @@ QUERIES = {
         op2_quality,
         op3_toxicity,
         op5_simhash_near_dedup,
+        op6_decontamination,
         op7_packing,
         op9_line_dedup,
         op10_quality_rules,
