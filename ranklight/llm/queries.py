@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ranklight.llm import decontaminate, isolation, line_dedup, near_dedup, packing, quality_gam, sharding, toxicity
+from ranklight.llm import (
+    decontaminate,
+    interpolation,
+    isolation,
+    line_dedup,
+    near_dedup,
+    packing,
+    quality_gam,
+    repeats,
+    sharding,
+    toxicity,
+)
 from ranklight.llm.common import table
 
 
@@ -23,6 +35,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_digest(docs, labels)
 
 
+def op4_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation.interpolation_digest(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=4, radius=4)
 
@@ -37,6 +53,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup_digest(table(spark, sf_dir, "documents"))
 
@@ -52,11 +72,14 @@ QUERIES = {
         op1_sharding,
         op2_quality,
         op3_toxicity,
+        op4_deleted_interpolation,
         op5_simhash_near_dedup,
         op6_decontamination,
         op7_packing,
+        op8_suffix_array_dedup,
         op9_line_dedup,
         op10_quality_rules,
     )
 }
+QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES = {"op9_line_dedup": line_dedup.SQL}
