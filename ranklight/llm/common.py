@@ -35,6 +35,14 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     )
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def parts_for(size: int, each: int) -> int:
     """How many parts of about ``each`` hold ``size``; at least one."""
     return max(1, -(-int(size) // int(each)))

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ranklight.llm.common import parts_for, pieces, row_key, text_bytes, texts_of
+from ranklight.llm.common import fresh, parts_for, pieces, row_key, text_bytes, texts_of
 from ranklight.llm.text_stats import mix
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -235,7 +235,8 @@ def _leaks(
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """The documents, all columns, in which no benchmark item is found."""
     options = {"width": 5, "threshold": 0.8, "radius": 20, "block_bytes": 16 << 20} | settings
-    keyed = docs.select(F.to_json(row_key()).alias("_row"), "text")
-    leaking = _leaks(keyed, benchmark, "_row", **options).select("_row").distinct()
-    rows = docs.withColumn("_row", F.to_json(row_key()))
-    return rows.join(leaking, "_row", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    row = fresh(docs, "_row")
+    keyed = docs.select(F.to_json(row_key()).alias(row), "text")
+    leaking = _leaks(keyed, benchmark, row, **options).select(row).distinct()
+    rows = docs.withColumn(row, F.to_json(row_key()))
+    return rows.join(leaking, row, "left_anti").select(*[f"`{c}`" for c in docs.columns])

@@ -1,16 +1,18 @@
-"""Links between 64-bit fingerprints at a small Hamming distance, by the general pigeonhole principle.
+"""Links between fingerprints at a small Hamming distance, by the general pigeonhole principle.
 
 If thresholds t_i over disjoint parts of the bits satisfy sum(t_i + 1) = radius + 1, then two
 fingerprints within the radius differ in t_i bits or fewer in some part i; a part with
-threshold -1 is not looked at. Bits that vary together share a part, and the thresholds are those of
-least estimated work.
+threshold -1 is not looked at. Bits that vary together share a part, and a dynamic program finds the
+thresholds of least estimated work. For wide fingerprints and a large radius, where no thresholds that
+guarantee every pair leave anything out, the same program takes parts that may share bits and asks
+for a chance to find a pair instead of a guarantee.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
-from math import comb
+from math import ceil, comb, log
 
 import numpy as np
 import pyarrow as pa
@@ -19,53 +21,71 @@ from pyspark.sql import functions as F
 
 from ranklight.llm.text_stats import mix
 
-BITS = 64
+Parts = list[tuple[list[int], int]]
+
 #: Work of one row dealt out and sorted, in compared pairs.
 _ROW_WORK = 300.0
 _SMALL_RUN = 8
+_MATRIX_RUN = 768
 _HEAVY_RUN = 8192
 
 
 def _unpacked(values: np.ndarray) -> np.ndarray:
-    """Bits of each value, the lowest first."""
-    shifts = np.arange(BITS, dtype=np.uint64)
-    return ((values[:, None] >> shifts) & np.uint64(1)).astype(np.float32)
+    """Bits of each row of 64-bit words, the lowest of the first word first."""
+    shifts = np.arange(64, dtype=np.uint64)
+    bits = (values[:, :, None] >> shifts) & np.uint64(1)
+    return bits.reshape(len(values), -1).astype(np.float32)
+
+
+def _words(batch: pa.RecordBatch, columns: list[str]) -> np.ndarray:
+    """The words of a batch's fingerprints, one row each."""
+    return np.column_stack([batch.column(c).to_numpy().view(np.uint64) for c in columns])
 
 
-def bit_statistics(fingerprints: DataFrame, column: str = "fp") -> tuple[int, np.ndarray]:
+def bit_statistics(fingerprints: DataFrame, columns: list[str]) -> tuple[int, np.ndarray]:
     """How many fingerprints, and how many have bits i and j both set, over all of them."""
+    width = 64 * len(columns)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, rows = np.zeros((BITS, BITS)), 0
+        total, rows = np.zeros((width, width)), 0
         for batch in batches:
-            x = _unpacked(batch.column(0).to_numpy().view(np.uint64))
+            x = _unpacked(_words(batch, columns))
             total += x.T @ x
             rows += len(x)
         values = [rows, *total.astype(np.int64).ravel().tolist()]
         yield pa.RecordBatch.from_arrays([pa.array([values], pa.list_(pa.int64()))], ["v"])
 
-    partial = fingerprints.select(column).mapInArrow(counted, "v array<long>")
+    partial = fingerprints.select(*columns).mapInArrow(counted, "v array<long>")
     summed = partial.select(F.posexplode("v").alias("k", "v")).groupBy("k").agg(F.sum("v").alias("v"))
-    found = np.zeros(1 + BITS * BITS)
-    for row in summed.collect():  # 1 + 64 * 64 rows
-        found[row["k"]] = row["v"]
-    return int(found[0]), found[1:].reshape(BITS, BITS)
+    rows = summed.toPandas()  # one row for each two bits, whatever the input
+    found = np.zeros(1 + width * width)
+    found[rows["k"].to_numpy(int)] = rows["v"]
+    return int(found[0]), found[1:].reshape(width, width)
 
 
-def correlated_parts(n: int, both: np.ndarray, parts: int) -> list[list[int]]:
-    """Deal the bits to parts of nearly equal width; each takes the bits it varies with most."""
+def correlated_parts(n: int, both: np.ndarray, parts: int, first: np.ndarray | None = None) -> list[list[int]]:
+    """Deal the bits to parts of nearly equal width; each takes the bits it varies with most.
+
+    ``first`` gives the order in which bits open a part; without it, the most even bits do.
+    """
     p = np.diag(both) / max(n, 1)
     spread = np.sqrt(np.maximum(p * (1 - p), 1e-9))
     link = np.abs((both / max(n, 1) - np.outer(p, p)) / np.outer(spread, spread))
-    left, out = set(range(BITS)), []
+    turn = np.argsort(np.abs(p - 0.5), kind="stable") if first is None else first
+    if first is not None:
+        # Another dealing: the bits vary with each other by chance as well.
+        link = link + np.random.default_rng(int(first[0])).random(link.shape)
+    left, out = np.ones(len(p), bool), []
     for k in range(parts):
-        width = (BITS - sum(map(len, out))) // (parts - k)
-        own = [min(left, key=lambda b: (abs(p[b] - 0.5), b))]
-        left.discard(own[0])
+        width = (len(p) - sum(map(len, out))) // (parts - k)
+        own = [int(turn[left[turn]][0])]
+        left[own[0]] = False
+        drawn = link[own[0]].copy()
         while len(own) < width:
-            best = max(left, key=lambda b: (link[b, own].sum(), -b))
+            best = int(np.argmax(np.where(left, drawn, -1.0)))
             own.append(best)
-            left.discard(best)
+            left[best] = False
+            drawn += link[best]
         out.append(sorted(own))
     return out
 
@@ -80,133 +100,177 @@ def _within(differ: np.ndarray, most: int) -> np.ndarray:
     return np.cumsum(exact)
 
 
-def allocate(costs: list[list[float]], radius: int) -> tuple[float, list[int]]:
-    """Thresholds with sum(t + 1) = radius + 1 of least total cost; costs[i][t], -1 is free."""
+def _costs(n: int, differ: np.ndarray, bits: list[int], most: int) -> list[float]:
+    """Estimated work of a part at thresholds 0 to ``most``: candidate pairs and rows dealt."""
+    pairs = float(n) * n * _within(differ[bits], most)
+    rows = [n * sum(comb(len(bits), k) for k in range(t + 1)) for t in range(most + 1)]
+    return [float(c + _ROW_WORK * r) for c, r in zip(pairs, rows)]
+
+
+def allocate(costs: list[list[float]], gains: list[list[int]], needed: int) -> tuple[float, list[int]]:
+    """Thresholds whose gains reach ``needed`` at least cost; -1 costs and gains nothing."""
     best: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
-    for own in costs:
+    for own, gain in zip(costs, gains):
         following: dict[int, tuple[float, list[int]]] = {}
         for used, (cost, chosen) in best.items():
             for t in range(-1, len(own)):
-                total = used + t + 1
+                total = min(needed, used + (gain[t] if t >= 0 else 0))
                 value = cost + (own[t] if t >= 0 else 0.0)
-                if total <= radius + 1 and (total not in following or value < following[total][0]):
+                if total not in following or value < following[total][0]:
                     following[total] = (value, [*chosen, t])
         best = following
-    return best.get(radius + 1, (float("inf"), []))
+    return best.get(needed, (float("inf"), []))
 
 
-def plan_parts(n: int, both: np.ndarray, radius: int, most: int = 2) -> list[tuple[list[int], int]]:
-    """(bits, threshold) of each part that is looked at, for the estimated least work."""
+def sure_parts(n: int, both: np.ndarray, radius: int, most: int = 2) -> Parts:
+    """Parts and thresholds that find every pair within the radius, for the least work."""
     p = np.diag(both) / max(n, 1)
     differ = 2 * p * (1 - p)
     choices = []
     for parts in range(2, radius + 2):
         dealt = correlated_parts(n, both, parts)
-        costs = []
-        for bits in dealt:
-            pairs = float(n) * n * _within(differ[bits], most)
-            rows = [n * sum(comb(len(bits), k) for k in range(t + 1)) for t in range(most + 1)]
-            costs.append([float(c + _ROW_WORK * r) for c, r in zip(pairs, rows)])
-        cost, thresholds = allocate(costs, radius)
+        costs = [_costs(n, differ, bits, most) for bits in dealt]
+        gains = [[t + 1 for t in range(most + 1)]] * len(dealt)
+        cost, thresholds = allocate(costs, gains, radius + 1)
         choices.append((cost, [(b, t) for b, t in zip(dealt, thresholds) if t >= 0]))
     return min(choices, key=lambda c: c[0])[1]
 
 
+def likely_parts(n: int, both: np.ndarray, share: float, recall: float = 0.999, most: int = 1) -> Parts:
+    """Parts and thresholds that find a pair whose bits differ with chance ``share`` with
+    chance ``recall``, for the least work; several dealings of the bits give parts enough."""
+    p = np.diag(both) / max(n, 1)
+    differ = 2 * p * (1 - p)
+    unit = -log(1 - recall) / 200
+    choices = []
+    for width in range(8, 33, 2):
+        found = _within(np.full(width, share), most)
+        enough = ceil(-log(1 - recall) / -log(1 - found[0])) + 2
+        if enough > 400:
+            break
+        dealt: list[list[int]] = []
+        while len(dealt) < enough:
+            order = None if not dealt else np.random.default_rng(len(dealt)).permutation(len(p))
+            dealt += [b for b in correlated_parts(n, both, len(p) // width, order)]
+        dealt = dealt[:enough]
+        costs = [_costs(n, differ, bits, most) for bits in dealt]
+        gains = [[int(-log(1 - f) / unit) for f in _within(np.full(len(b), share), most)] for b in dealt]
+        cost, thresholds = allocate(costs, gains, 200 - enough // 2)
+        choices.append((cost, [(b, t) for b, t in zip(dealt, thresholds) if t >= 0]))
+    return min(choices, key=lambda c: c[0])[1]
+
+
+def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(a ^ b).sum(-1, dtype=np.int32)
+
+
 def _linked(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that span the components of one run: each row to the row it was reached from."""
     waiting = np.arange(len(fps))
-    child, parent = [], []
+    if len(fps) <= _MATRIX_RUN:
+        near = _distance(fps[:, None], fps[None, :]) <= radius
+        waiting = np.flatnonzero(near.sum(1) > 1)
+    child, parent = [np.zeros(0, int)], [np.zeros(0, int)]
     while len(waiting):
         front, waiting = waiting[:1], waiting[1:]
         while len(front) and len(waiting):
-            block, front = front[:256], front[256:]
-            near = np.bitwise_count(fps[block][:, None] ^ fps[waiting][None, :]) <= radius
+            block, front = front[:128], front[128:]
+            near = np.zeros((len(block), len(waiting)), bool)
+            for start in range(0, len(waiting), 4096):
+                part = waiting[start : start + 4096]
+                near[:, start : start + 4096] = _distance(fps[block][:, None], fps[part][None, :]) <= radius
             hit = near.any(0)
             if hit.any():
                 child.append(waiting[hit])
                 parent.append(block[near[:, hit].argmax(0)])
                 front = np.concatenate([front, waiting[hit]])
                 waiting = waiting[~hit]
-    if not child:
-        return np.zeros(0, int), np.zeros(0, int)
     return np.concatenate(child), np.concatenate(parent)
 
 
-def run_links(keys: np.ndarray, fps: np.ndarray, index: np.ndarray, radius: int) -> np.ndarray:
-    """Links (two columns) among rows with equal keys; rows are sorted by key.
+def run_links(
+    keys: np.ndarray, nodes: np.ndarray, fps: np.ndarray, index: np.ndarray, radius: int
+) -> np.ndarray:
+    """Links of nodes (two columns) among rows with equal keys; rows are sorted by key.
 
     A run without an indexed row holds probes alone and has no link of its own.
     """
-    cuts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, int)
+    out = [np.zeros((0, 2), np.int64)]
+    if not len(keys):
+        return out[0]
+    cuts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     lengths = np.diff(np.r_[cuts, len(keys)])
-    if len(cuts):
-        indexed = np.logical_or.reduceat(index, cuts)
-        cuts, lengths = cuts[indexed], lengths[indexed]
-    out = [np.zeros((0, 2), np.uint64)]
+    indexed = np.logical_or.reduceat(index, cuts)
+    cuts, lengths = cuts[indexed], lengths[indexed]
     for size in range(2, _SMALL_RUN + 1):
         starts = cuts[lengths == size]
         for i, j in combinations(range(size), 2):
-            a, b = fps[starts + i], fps[starts + j]
-            near = np.bitwise_count(a ^ b) <= radius
-            out.append(np.column_stack([a[near], b[near]]))
+            near = _distance(fps[starts + i], fps[starts + j]) <= radius
+            out.append(np.column_stack([nodes[starts[near] + i], nodes[starts[near] + j]]))
     for start, size in zip(cuts[lengths > _SMALL_RUN], lengths[lengths > _SMALL_RUN]):
-        own = fps[start : start + size]
-        child, parent = _linked(own, radius)
-        out.append(np.column_stack([own[child], own[parent]]))
+        child, parent = _linked(fps[start : start + size], radius)
+        out.append(np.column_stack([nodes[start + child], nodes[start + parent]]))
     return np.concatenate(out)
 
 
-def hamming_links(fingerprints: DataFrame, radius: int = 4, column: str = "fp") -> DataFrame:
-    """Links a, b that connect just the distinct fingerprints within ``radius`` of each other.
+def hamming_links(fingerprints: DataFrame, columns: list[str], radius: int, parts: Parts) -> DataFrame:
+    """Links a, b of ``node`` values whose fingerprints are within ``radius`` of each other.
 
-    Two fingerprints are in one component of the links exactly where a chain of steps of at most
-    ``radius`` bits joins them; of a dense group only a spanning part is returned, so
-    links never outnumber the rows dealt out. Keys with very many rows are cut
-    into chunks, and every two chunks meet in a task of their own.
+    Needs a long ``node`` that is distinct for each distinct fingerprint, whose 64-bit words are in
+    ``columns``. A chain of links joins two nodes where a chain of pairs that share a part
+    does; of a dense group only a spanning part is returned, so links never outnumber the rows
+    dealt out. Keys with very many rows are cut into chunks, and every two
+    chunks meet in a task of their own.
     """
-    n, both = bit_statistics(fingerprints, column)
-    parts = plan_parts(n, both, radius)
+    masks = np.array(
+        [[sum(1 << (b - 64 * w) for b in bits if b // 64 == w) for w in range(len(columns))] for bits, _ in parts],
+        np.uint64,
+    )
+    names = ["key", "node", *columns, "indexed"]
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = batch.column(0).to_numpy().view(np.uint64)
+            words = _words(batch, columns)
+            rest = [batch.column(c) for c in ("node", *columns)]
             for number, (bits, threshold) in enumerate(parts):
-                own = fps & np.uint64(sum(1 << b for b in bits))
-                salt = mix(np.array([number + 1]))[0]
                 for k in range(threshold + 1):
                     for flipped in combinations(bits, k):
-                        keys = mix((own ^ np.uint64(sum(1 << b for b in flipped))) ^ salt)
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array(keys.view(np.int64)),
-                                pa.array(fps.view(np.int64)),
-                                pa.array(np.full(len(fps), k == 0)),
-                            ],
-                            ["key", "fp", "indexed"],
-                        )
+                        key = np.full(len(words), number + 1, np.uint64)
+                        for w in range(len(columns)):
+                            turned = sum(1 << (b - 64 * w) for b in flipped if b // 64 == w)
+                            key = mix(key) ^ ((words[:, w] & masks[number, w]) ^ np.uint64(turned))
+                        own = pa.array(mix(key).view(np.int64))
+                        indexed = pa.array(np.full(len(words), k == 0))
+                        yield pa.RecordBatch.from_arrays([own, *rest, indexed], names)
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = [np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, bool)]
+        rest: list[np.ndarray] | None = None
 
         def done(rows: list[np.ndarray]) -> pa.RecordBatch:
-            found = run_links(*rows, radius).view(np.int64)
+            found = run_links(*rows, radius)
             return pa.RecordBatch.from_arrays(
                 [pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["a", "b"]
             )
 
         for batch in batches:
-            new = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)]
-            new = [new[0].view(np.uint64), new[1].view(np.uint64), new[2]]
-            rows = [np.concatenate(x) for x in zip(rest, new)]
+            rows = [
+                batch.column("key").to_numpy(),
+                batch.column("node").to_numpy(),
+                _words(batch, columns),
+                batch.column("indexed").to_numpy(zero_copy_only=False),
+            ]
+            rows = rows if rest is None else [np.concatenate(x) for x in zip(rest, rows)]
             if not len(rows[0]):
                 continue
             # The last key may go on in the next batch.
             cut = int(np.flatnonzero(np.r_[True, rows[0][1:] != rows[0][:-1]])[-1])
             yield done([x[:cut] for x in rows])
             rest = [x[cut:] for x in rows]
-        yield done(rest)
+        if rest is not None:
+            yield done(rest)
 
-    rows = fingerprints.select(column).mapInArrow(dealt, "key long, fp long, indexed boolean")
+    kinds = ", ".join(f"{c} long" for c in columns)
+    rows = fingerprints.select("node", *columns).mapInArrow(dealt, f"key long, node long, {kinds}, indexed boolean")
     heavy = (
         rows.groupBy("key")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -214,17 +278,14 @@ def hamming_links(fingerprints: DataFrame, radius: int = 4, column: str = "fp")
         .select("key", F.ceil(F.col("n") * 2 / _HEAVY_RUN).cast("int").alias("chunks"))
     )
     marked = rows.join(heavy, "key", "left")
-    light = marked.filter("chunks IS NULL").select("key", "fp", "indexed")
-    chunk = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
+    light = marked.filter("chunks IS NULL").select(*names)
     cells = (
         marked.filter("chunks IS NOT NULL")
-        .withColumn("own", chunk)
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select(
-            F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"),
-            "fp",
-            F.lit(True).alias("indexed"),
-        )
+        .withColumn("key", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
+        .withColumn("indexed", F.lit(True))
+        .select(*names)
     )
     found = [
         x.repartition("key").sortWithinPartitions("key").mapInArrow(linked, "a long, b long")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import acos, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -11,9 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ranklight.llm.common import pieces, row_key, texts_of
+from ranklight.llm.common import fresh, pieces, row_key, texts_of
 from ranklight.llm.components import connected_components
-from ranklight.llm.hamming import hamming_links
+from ranklight.llm.hamming import Parts, bit_statistics, hamming_links, likely_parts, sure_parts
+from ranklight.llm.text_stats import mix
 from ranklight.session import settle
 
 _SEED = 42
@@ -34,69 +36,109 @@ def shingle_hashes(text: bytes, width: int) -> np.ndarray:
     return np.array(found, np.uint64)
 
 
-def simhash(hashes: np.ndarray) -> int:
-    """The bits set in over half the hashes; 0 without any."""
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    majority = 2 * bits.sum(0, dtype=np.int64) > len(hashes)
-    return int(np.packbits(majority, bitorder="little").view("<u8")[0])
+def simhash(hashes: np.ndarray, words: int = 1) -> list[int]:
+    """Words of 64 bits that are set in over half the hashes; 0 without any.
+
+    Each word after the first takes the hashes spread once more.
+    """
+    out = []
+    for _ in range(words):
+        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        majority = 2 * bits.sum(0, dtype=np.int64) > len(hashes)
+        out.append(int(np.packbits(majority, bitorder="little").view("<i8")[0]))
+        hashes = mix(hashes)
+    return out
 
 
-def fingerprints(docs: DataFrame, width: int = 4, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The ``keys`` of each document and its fingerprint ``fp``, 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, width: int, words: int = 1, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The ``keys`` of each document and the words fp0, fp1, ... of its fingerprint, as longs."""
+    columns = [f"fp{k}" for k in range(words)]
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", 8 << 20):
-            found = [simhash(shingle_hashes(t, width)) for t in texts_of(batch.column("text"))]
-            fp = pa.array(np.array(found, np.uint64).view(np.int64))
-            yield batch.drop_columns(["text"]).append_column("fp", fp)
+            found = [simhash(shingle_hashes(t, width), words) for t in texts_of(batch.column("text"))]
+            out = batch.drop_columns(["text"])
+            for name, values in zip(columns, zip(*found)):
+                out = out.append_column(name, pa.array(values, pa.int64()))
+            yield out
 
     frame = docs.select(*keys, "text")
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in frame.schema if f.name != "text")
-    return frame.mapInArrow(hashed, f"{kinds}, fp long")
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in frame.schema if f.name != "text"]
+    return frame.mapInArrow(hashed, ", ".join(kinds + [f"{c} long" for c in columns]))
+
+
+def _planned(nodes: DataFrame, columns: list[str], radius: int, share: float | None) -> Parts:
+    n, both = bit_statistics(nodes, columns)
+    return sure_parts(n, both, radius) if share is None else likely_parts(n, both, share)
 
 
-def fingerprint_components(found: DataFrame, radius: int = 4) -> DataFrame:
-    """``fp`` and ``component_id``, the smallest doc_id reachable, of each distinct fingerprint.
+def fingerprint_components(
+    found: DataFrame, words: int, radius: int, share: float | None = None
+) -> DataFrame:
+    """``node`` and ``component_id``, the smallest doc_id reachable, of each distinct fingerprint.
 
-    Copies share a fingerprint, so they are one node whose row count does not matter.
+    Copies share a fingerprint, so they are one node whose row count does not matter. ``share``
+    asks for likely instead of sure parts (see ``hamming``).
     """
-    nodes = settle(found.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
-    roots = connected_components(hamming_links(nodes, radius))
-    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
+    columns = [f"fp{k}" for k in range(words)]
+    nodes = settle(found.groupBy("node", *columns).agg(F.min("doc_id").alias("first_id")), "nodes")
+    links = hamming_links(nodes, columns, radius, _planned(nodes, columns, radius, share))
+    roots = connected_components(links).withColumnRenamed("node", "linked")
+    rooted = nodes.join(roots, F.col("node") == F.col("linked"), "left").select(
+        "node", "first_id", F.coalesce("root", "node").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rooted.join(least, "root").select("fp", "component_id")
+    return rooted.join(least, "root").select("node", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every document.
 
-    Documents without words have fingerprint zero and link like others. Null ids never become a
-    component's id unless there is no other; repeated ids are rows like others.
+    All fingerprints within ``radius`` bits link. Documents without words have fingerprint zero and
+    link like others. Null ids never become a component's id unless there is no other;
+    repeated ids are rows like others.
     """
-    found = settle(fingerprints(docs, width), "fingerprints")
-    components = fingerprint_components(found, radius).withColumnRenamed("fp", "node_fp")
-    return found.join(components, F.col("fp") == F.col("node_fp")).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    found = settle(fingerprints(docs, width).withColumn("node", F.col("fp0")), "fingerprints")
+    components = fingerprint_components(found, 1, radius).withColumnRenamed("node", "place")
+    return found.join(components, F.col("node") == F.col("place")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp0"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def keep_one_per_group(docs: DataFrame, width: int = 5, radius: int = 4) -> DataFrame:
+def differing_share(similarity: float) -> float:
+    """The expected share of differing bits of two texts whose shingles have this similarity.
+
+    Sets of similarity s have the cosine 2s / (1 + s); a bit differs with the angle over pi.
+    """
+    return acos(2 * similarity / (1 + similarity)) / pi
+
+
+def keep_one_per_group(
+    docs: DataFrame, width: int = 5, similarity: float = 0.8, words: int = 4
+) -> DataFrame:
     """The documents, all columns, without those whose group has a smaller doc_id.
 
-    Of a group without ids, or of several rows with the smallest id, the row with the
-    smallest hash of id and text stays.
+    Texts link where their fingerprints of ``words`` times 64 bits differ in no more bits than
+    expected at ``similarity``, and 1.6 standard deviations; that is an
+    estimate of the similarity, and 95 of 100 pairs at the bound itself are linked. Of a group without
+    ids, or of several rows with the smallest id, one row stays.
     """
-    found = settle(fingerprints(docs.withColumn("_row", row_key()), width, ("doc_id", "_row")), "fingerprints")
-    components = fingerprint_components(found, radius).withColumnRenamed("fp", "node_fp")
-    placed = found.join(components, F.col("fp") == F.col("node_fp"))
+    share, bits = differing_share(similarity), 64 * words
+    radius = int(bits * share + 1.6 * sqrt(bits * share * (1 - share)))
+    columns = [f"fp{k}" for k in range(words)]
+    row = fresh(docs, "_row")
+    keyed = docs.withColumn(row, row_key())
+    narrow = docs.select("doc_id", "text", row_key().alias("_row"))
+    found = fingerprints(narrow, width, words, ("doc_id", "_row"))
+    found = settle(found.withColumn("node", F.xxhash64(*columns)), "fingerprints")
+    components = fingerprint_components(found, words, radius, share).withColumnRenamed("node", "place")
+    placed = found.join(components, F.col("node") == F.col("place"))
     # One row for each component by a partial minimum; a large group is never gathered.
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
-    kept = placed.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("lone")).agg(
-        first["_row"].alias("_kept")
+    kept = placed.groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("_kept")
     )
-    names = docs.columns
-    rows = docs.withColumn("_row", row_key()).join(kept.select("_kept").distinct(), F.col("_row") == F.col("_kept"))
-    own = W.partitionBy("_row").orderBy(F.lit(1))
-    return rows.withColumn("_n", F.row_number().over(own)).filter("_n = 1").select(*[f"`{c}`" for c in names])
+    number, place = fresh(docs, "_n"), fresh(docs, "_kept")
+    rows = keyed.join(kept.select(F.col("_kept").alias(place)), F.col(row) == F.col(place))
+    own = W.partitionBy(row).orderBy(F.lit(1))
+    numbered = rows.withColumn(number, F.row_number().over(own)).filter(F.col(number) == 1)
+    return numbered.select(*[f"`{c}`" for c in docs.columns])
