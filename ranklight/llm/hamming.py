@@ -218,8 +218,8 @@ def hamming_links(fingerprints: DataFrame, columns: list[str], radius: int, part
 
     Needs a long ``node`` that is distinct for each distinct fingerprint, whose 64-bit words are in
     ``columns``. A chain of links joins two nodes where a chain of pairs that share a part
-    does; of a dense group only a spanning part is returned, so links never outnumber the rows
-    dealt out. Keys with very many rows are cut into chunks, and every two
+    does; of a dense group only a spanning part is returned, so there are fewer than four links
+    for each row dealt out. Keys with very many rows are cut into chunks, and every two
     chunks meet in a task of their own.
     """
     masks = np.array(

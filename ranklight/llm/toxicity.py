@@ -108,16 +108,20 @@ class _Rows:
     """Sparse 0/1 rows: forward and backward products."""
 
     def __init__(self, rows: list[np.ndarray], width: int):
-        lengths = np.array([len(r) for r in rows], np.int64)
-        self.row = np.repeat(np.arange(len(rows)), lengths)
-        self.col = np.concatenate(rows).astype(np.int64) if rows else np.zeros(0, np.int64)
-        self.shape = (len(rows), width)
+        self.lengths = np.array([len(r) for r in rows], np.int64)
+        self.col = np.concatenate([np.zeros(0, np.int32), *rows])
+        self.filled = np.flatnonzero(self.lengths)
+        self.starts = (np.cumsum(self.lengths) - self.lengths)[self.filled]
+        self.width = width
 
     def dot(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, w[self.col], self.shape[0])
+        out = np.zeros(len(self.lengths))
+        if len(self.filled):
+            out[self.filled] = np.add.reduceat(w[self.col], self.starts)
+        return out
 
     def back(self, g: np.ndarray) -> np.ndarray:
-        return np.bincount(self.col, g[self.row], self.shape[1])
+        return np.bincount(self.col, np.repeat(g, self.lengths), self.width)
 
 
 def fit_weights(
@@ -138,15 +142,15 @@ def fit_weights(
     model = ToxicityModel(float(np.log((positive + 1) / (len(labels) - positive + 1))), bits)
     if not 0 < positive < len(labels):
         return model
-    seen = np.bincount(np.concatenate(texts).astype(np.int64), minlength=1 << bits)
+    seen = np.bincount(np.concatenate(texts), minlength=1 << bits)
     kept = np.flatnonzero(seen >= min_docs)
     if not len(kept):
         return model
-    place = np.full(1 << bits, -1)
-    place[kept] = np.arange(len(kept))
+    place = np.full(1 << bits, -1, np.int32)
+    place[kept] = np.arange(len(kept), dtype=np.int32)
 
     def placed(ids: np.ndarray) -> np.ndarray:
-        p = place[ids.astype(np.int64)]
+        p = place[ids]
         return p[p >= 0]
 
     x = _Rows([placed(t) for t in texts], len(kept))
@@ -154,7 +158,7 @@ def fit_weights(
     other = _Rows([placed(c) for _, c in changed], len(kept))
     # Frequent features get shorter steps; the rest could otherwise hardly move.
     weight = np.where(labels == 1, 0.5 / positive, 0.5 / (len(labels) - positive))
-    curve = x.back(weight) * 0.25 * np.sqrt(np.mean(np.bincount(x.row, minlength=x.shape[0])))
+    curve = x.back(weight) * 0.25 * np.sqrt(np.mean(x.lengths))
     step = 1.0 / (curve + 1e-3)
     w = z = np.zeros(len(kept))
     bias = bias_z = 0.0
@@ -181,7 +185,7 @@ def fit_weights(
 
 
 def fit_toxicity(
-    docs: DataFrame, labels: DataFrame, max_labelled: int = 12_000, bits: int = 20, **settings
+    docs: DataFrame, labels: DataFrame, max_labelled: int = 6_000, bits: int = 20, **settings
 ) -> ToxicityModel:
     """Fit on at most ``max_labelled`` labelled rows whose id's crc32 modulo 5 is not 0.
 
