@@ -57,7 +57,6 @@ def encode_chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
     ``docs`` has doc_id, text, training and held (training documents of which
     the weights are learned). A chunk holds either such documents alone or none.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["chunk", "held", "ids", "training", "lengths", "words", "tokens"]
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +94,7 @@ def encode_chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
                 [zlib.compress(planes(rank[tokens]), 1)],
             ]
             types = [
-                pa.int64(), pa.bool_(), pa.list_(rows.schema.field("doc_id").type), pa.list_(pa.bool_()),
+                pa.int64(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.bool_()),
                 pa.list_(pa.int64()), pa.binary(), pa.binary(),
             ]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types)], names)
@@ -115,7 +114,7 @@ def encode_chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
 
     return docs.mapInArrow(
         encoded,
-        f"chunk long, held boolean, ids array<{kind}>, training array<boolean>, "
+        "chunk long, held boolean, ids array<string>, training array<boolean>, "
         "lengths array<long>, words binary, tokens binary",
     )
 
@@ -305,7 +304,9 @@ def score_documents(
     Keys have 26 bits more than the token count needs, 64 at most.
     """
     held = F.col(training) & (F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(held_part)) == 0)
-    rows = docs.select("doc_id", "text", F.col(training).alias("training"), held.alias("held"))
+    # Ids travel as text: lists of numbers with nulls would become floating point on the way.
+    own_id = F.col("doc_id").cast("string").alias("doc_id")
+    rows = docs.select(own_id, "text", F.col(training).alias("training"), held.alias("held"))
     chunks = settle(encode_chunks(rows, chunk_bytes), "chunks")
     sized = chunks.select(
         F.size("ids").alias("n"),
@@ -318,9 +319,10 @@ def score_documents(
         F.sum(F.when(F.col("held"), F.col("learned")).otherwise(0)).alias("held"),
     )
     size = sized.first()
+    kind = docs.schema["doc_id"].dataType
     if size["tokens"] is None:
-        kind = docs.schema["doc_id"].dataType.simpleString()
-        return docs.sparkSession.createDataFrame([], _scored_schema(kind))
+        none = docs.sparkSession.createDataFrame([], _SCORED)
+        return none.withColumn("doc_id", F.col("doc_id").cast(kind))
     bits = min(64, int(size["tokens"]).bit_length() + 26)
     buckets = parts_for(order * int(size["tokens"]), bucket_keys)
     answers = settle(
@@ -355,19 +357,16 @@ def score_documents(
             }
         )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
     return (
         chunks.select("chunk", "ids", "lengths", "words", "tokens")
         .groupBy("chunk")
         .cogroup(sent.drop("held", "deleted").groupBy("chunk"))
-        .applyInPandas(scored, _scored_schema(kind))
+        .applyInPandas(scored, _SCORED)
+        .withColumn("doc_id", F.col("doc_id").cast(kind))
     )
 
 
-def _scored_schema(kind: str) -> str:
-    return (
-        f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    )
+_SCORED = "doc_id string, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
 def _learned(chunks: DataFrame, answers: DataFrame, order: int, bits: int, kept) -> np.ndarray:

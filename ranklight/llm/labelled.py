@@ -11,14 +11,15 @@ from ranklight.llm.common import row_key
 def hashed_sample(rows: DataFrame, limit: int, seed: int = 7) -> DataFrame:
     """At most ``limit`` rows, chosen by a seeded hash of id and text; all where fewer exist.
 
-    A cut near the share wanted keeps the sort small; the limit makes the bound hold.
+    A cut near the share wanted keeps the sort small; the limit makes the bound hold. The
+    sample is dealt out again, as a limit leaves it in one task.
     """
     total = rows.count()
     drawn = rows.withColumn("_draw", F.xxhash64(F.lit(seed), row_key()))
     if total > limit:
         share = min(1.0, 1.2 * limit / total)
         drawn = drawn.filter(F.col("_draw") < int(-(2**63) + share * (2**64 - 1)))
-    return drawn.orderBy("_draw").limit(limit).drop("_draw")
+    return drawn.orderBy("_draw").limit(limit).drop("_draw").repartition(16)
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, fold: Column) -> DataFrame:

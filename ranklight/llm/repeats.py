@@ -104,8 +104,7 @@ def chunk_table(docs: DataFrame, chunk_bytes: int, chunks: int) -> DataFrame:
 
         def chunk() -> pa.RecordBatch:
             nonlocal number, waiting, size
-            order = sorted(range(len(waiting)), key=lambda k: (waiting[k][0] is not None, waiting[k][0] or 0))
-            rows = [waiting[k] for k in order]
+            rows = sorted(waiting, key=lambda r: _id(r[0]))
             number, waiting, size = number + 1, [], 0
             values = [
                 [(TaskContext.get().partitionId() << 24) + number],
@@ -113,7 +112,7 @@ def chunk_table(docs: DataFrame, chunk_bytes: int, chunks: int) -> DataFrame:
                 [[len(r[1]) for r in rows]],
                 [b"".join(r[1] for r in rows)],
             ]
-            types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+            types = [pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types)], names)
 
         for batch in pieces(batches, "text", chunk_bytes):
@@ -130,8 +129,9 @@ def chunk_table(docs: DataFrame, chunk_bytes: int, chunks: int) -> DataFrame:
     spark = docs.sparkSession
     path = scratch_path(spark, "repeat-chunks")
     name = path.rsplit("/", 1)[-1].replace("-", "_")
-    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        gathered, "chunk long, ids array<long>, lengths array<long>, data binary"
+    # Ids travel as text: lists of numbers with nulls would become floating point on the way.
+    rows = docs.select(F.col("doc_id").cast("string"), "text").mapInArrow(
+        gathered, "chunk long, ids array<string>, lengths array<long>, data binary"
     )
     (
         rows.write.bucketBy(chunks, "chunk")
@@ -146,7 +146,7 @@ def chunk_table(docs: DataFrame, chunk_bytes: int, chunks: int) -> DataFrame:
 class Chunk:
     """A chunk's bytes, its anchors, and the distinct (piece, context) pairs in sorted order."""
 
-    def __init__(self, ids: list[int | None], lengths: list[int], data: bytes):
+    def __init__(self, ids: list[str | None], lengths: list[int], data: bytes):
         self.data = np.frombuffer(data, np.uint8)
         self.lengths = np.asarray(lengths, np.int64)
         self.ends = np.cumsum(self.lengths)
@@ -170,8 +170,8 @@ class Chunk:
         return np.r_[0, np.searchsorted(self.piece, np.array(edges, np.uint64)), len(self.piece)]
 
 
-def _id(value: int | None) -> int:
-    return -(2**63) if value is None else value  # before all others
+def _id(value: str | None) -> int:
+    return -(2**63) if value is None else int(value)  # before all others
 
 
 def _numbers(values: np.ndarray) -> bytes:
@@ -373,9 +373,7 @@ def _finished(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     for doc_id, a, b in zip(row["ids"], own.starts.tolist(), own.ends.tolist()):
         dropped = gone[a:b]
         out.append((doc_id, b - a, int(dropped.sum()), int(rises[a:b].sum()), own.data[a:b][~dropped].tobytes()))
-    found = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-    found["doc_id"] = pd.array(found["doc_id"], dtype="Int64")
-    return found
+    return pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
 def _digested(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -411,5 +409,6 @@ def remove_repeats(docs: DataFrame, chunk_bytes: int = 4 << 20, digest: bool = F
     return (
         chunks.groupBy("chunk")
         .cogroup(sent.groupBy("chunk"))
-        .applyInPandas(function, f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}")
+        .applyInPandas(function, f"doc_id string, n_bytes long, n_removed long, n_spans long, {last}")
+        .withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
     )
