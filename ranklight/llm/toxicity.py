@@ -154,11 +154,15 @@ def fit_weights(
         return p[p >= 0]
 
     x = _Rows([placed(t) for t in texts], len(kept))
-    base = _Rows([placed(texts[i]) for i, _ in changed], len(kept))
-    other = _Rows([placed(c) for _, c in changed], len(kept))
+    # Of a text and its counterfactual only the features that differ change the logit.
+    base = _Rows([placed(np.setdiff1d(texts[i], c)) for i, c in changed], len(kept))
+    other = _Rows([placed(np.setdiff1d(c, texts[i])) for i, c in changed], len(kept))
     # Frequent features get shorter steps; the rest could otherwise hardly move.
     weight = np.where(labels == 1, 0.5 / positive, 0.5 / (len(labels) - positive))
     curve = x.back(weight) * 0.25 * np.sqrt(np.mean(x.lengths))
+    if changed:
+        reach = 2 * fairness * (base.lengths + other.lengths) / len(changed)
+        curve = curve + base.back(reach) + other.back(reach)
     step = 1.0 / (curve + 1e-3)
     w = z = np.zeros(len(kept))
     bias = bias_z = 0.0
