@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ranklight.llm import decontaminate, line_dedup, near_dedup, packing, quality_gam
 from ranklight.llm.common import table
-from ranklight.session import settle
+from ranklight.session import own_scratch, settle
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,12 +47,17 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def _stage(function):
+    """Where the session names no shared folder, as in trials, set one first."""
+    return lambda spark, docs, sf_dir: function(own_scratch(spark), docs, sf_dir)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality_classifier", quality),
-    ("line_dedup", lines),
-    ("simhash_near_dedup", near_duplicates),
-    ("benchmark_decontamination", decontamination),
-    ("best_fit_packing", pack),
+    ("quality_classifier", _stage(quality)),
+    ("line_dedup", _stage(lines)),
+    ("simhash_near_dedup", _stage(near_duplicates)),
+    ("benchmark_decontamination", _stage(decontamination)),
+    ("best_fit_packing", _stage(pack)),
 ]
 
 #: The classifier and the packing cannot be written in SQL.
@@ -60,7 +65,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(own_scratch(spark), sf_dir, "documents")
     for name, stage in STAGES:
         docs = settle(stage(spark, docs, sf_dir), name)
     return docs

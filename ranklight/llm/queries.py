@@ -19,6 +19,7 @@ from ranklight.llm import (
     toxicity,
 )
 from ranklight.llm.common import table
+from ranklight.session import own_scratch, tune
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,8 +67,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return isolation.rules_digest(docs, labels)
 
 
+def _with_folder(function):
+    """Run in the session as it is, with the joins' settings and, where unset, a folder of its own."""
+    return lambda spark, sf_dir: function(own_scratch(tune(spark)), sf_dir)
+
+
 QUERIES = {
-    f.__name__: f
+    f.__name__: _with_folder(f)
     for f in (
         op1_sharding,
         op2_quality,
@@ -81,5 +87,5 @@ QUERIES = {
         op10_quality_rules,
     )
 }
-QUERIES["pipeline"] = corpus_pipeline.run
+QUERIES["pipeline"] = _with_folder(corpus_pipeline.run)
 ORACLES = {"op9_line_dedup": line_dedup.SQL}
