@@ -86,15 +86,6 @@ def train(spark: SparkSession, sf: str) -> DataFrame:
     return train_test(spark, sf)[0]
 
 
-def vector_train_test(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """The split restricted to the items that have a vector."""
-    known = item_vectors(spark, sf).select("item_id")
-    return tuple(
-        side.join(known, "item_id", "left_semi").select("user_id", "item_id", "rating", "timestamp")
-        for side in train_test(spark, sf)
-    )
-
-
 def _event_item(key: str = "k"):
     return F.get_json_object("props", f"$.{key}").cast("int")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,16 +33,13 @@ from ranklight.operators.ranker import (
 from ranklight.plans import serving, training
 from ranklight.plans.drift_report import analyze_prediction_drift
 from ranklight.plans.prepare import prepare_interactions as run_preparation
-from ranklight.session import scratch_path, settle, tune
+from ranklight.session import own_scratch, scratch_path, settle, tune
 from ranklight.sources import logs, models, reports, tables
 from ranklight.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Model sizes of the registered training queries.
-ALS = {"n_factors": 16, "n_epochs": 5}
-TREES = {"trees": 10, "depth": 3}
 _TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
@@ -53,7 +50,7 @@ def query(function: Query) -> Query:
     """
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        tune(spark)
+        own_scratch(tune(spark))
         df = function(spark, sf)
         columns = [
             (F.round(c.name, 6) + F.lit(0.0)).alias(c.name)
@@ -510,19 +507,20 @@ def confidence_matrix(spark, sf):
 @query
 def score_feature_als(spark, sf):
     _, test = b.train_test(spark, sf)
-    return als_score_pairs(_model(spark, sf), test, "model_a_score")
+    scored = als_score_pairs(_model(spark, sf), test, "model_a_score")
+    return _checked_scores(_model(spark, sf), scored, "model_a_score")
 
 
 def _neighbours(spark, sf):
     def make():
-        train, _ = b.vector_train_test(spark, sf)
+        train, _ = b.train_test(spark, sf)
         return settle(sim.neighbour_table(train, b.item_vectors(spark, sf)), "neighbours")
 
     return _once("neighbours", spark, sf, make)
 
 
 def _fresh_neighbours(spark, sf):
-    train, test = b.vector_train_test(spark, sf)
+    train, test = b.train_test(spark, sf)
     return sim.neighbour_table(train, b.item_vectors(spark, sf)), train, test
 
 
@@ -545,7 +543,10 @@ def sample_users(spark, sf):
 
 @query
 def ctr_dataset(spark, sf):
-    return _ctr_dataset(spark, sf)
+    # The first model's score has no SQL; it must be there and finite.
+    score = F.abs("model_a_score") < float("inf")
+    found = _ctr_dataset(spark, sf).withColumn("scored", F.coalesce(score, F.lit(False)))
+    return found.drop("model_a_score")
 
 
 @query
@@ -564,26 +565,14 @@ def stratified_split(spark, sf):
 
 def _model(spark, sf):
     def make():
-        train = settle(b.train(spark, sf), "train")
-        return als_fit(train, **ALS)
+        return als_fit(b.train(spark, sf))
 
     return _once("als", spark, sf, make)
 
 
-def _vector_model(spark, sf):
-    """A collaborative model over the items with vectors, for the two-stage jobs."""
-
-    def make():
-        train, test = b.vector_train_test(spark, sf)
-        train, test = settle(train, "train"), settle(test, "test")
-        return als_fit(train, **ALS), train, test
-
-    return _once("als-vectors", spark, sf, make)
-
-
 def _feature_tables(spark, sf):
     def make():
-        _, train, _ = _vector_model(spark, sf)
+        train = b.train(spark, sf)
         users = settle(feat.user_features(train), "user-features")
         items = settle(feat.item_features(train, b.metadata(spark, sf)), "item-features")
         return users, items
@@ -592,40 +581,100 @@ def _feature_tables(spark, sf):
 
 
 def _ctr_dataset(spark, sf):
-    model, train, _ = _vector_model(spark, sf)
     users, items = _feature_tables(spark, sf)
-    return training.build_ctr_dataset(train, users, items, model, _neighbours(spark, sf))
+    return training.build_ctr_dataset(
+        b.train(spark, sf), users, items, _model(spark, sf), _neighbours(spark, sf)
+    )
 
 
 def _clicks(spark, sf):
-    return _once(
-        "clicks", spark, sf, lambda: training.train_click_model(_ctr_dataset(spark, sf), **TREES)
-    )
+    return _once("clicks", spark, sf, lambda: training.train_click_model(_ctr_dataset(spark, sf)))
 
 
-@query
-def als_fit_(spark, sf):
-    model = als_fit(settle(b.train(spark, sf), "train"), **ALS)
+def _all_finite(vector: str) -> Column:
+    return F.forall(vector, lambda x: F.abs(x) < float("inf"))
+
+
+def _sound_factors(model) -> DataFrame:
+    """Per user and item: the length of its factors, and whether all are finite and some not zero."""
     sides = (("user", model.user_factors, "user_id"), ("item", model.item_factors, "item_id"))
+    sound = _all_finite("vector") & F.exists("vector", lambda x: x != 0)
     rows = [
-        df.select(F.lit(kind).alias("kind"), F.col(key).alias("id"), F.size("vector").alias("rank"))
+        df.select(
+            F.lit(kind).alias("kind"),
+            F.col(key).alias("id"),
+            F.size("vector").alias("rank"),
+            sound.alias("sound"),
+        )
         for kind, df, key in sides
     ]
     return reduce(DataFrame.unionByName, rows)
 
 
+def _products(model, pairs: DataFrame) -> DataFrame:
+    """The factor product of known pairs, taken apart from the operators, else null."""
+    users = model.user_factors.select("user_id", F.posexplode("vector").alias("k", "u"))
+    items = model.item_factors.select("item_id", F.posexplode("vector").alias("k", "i"))
+    both = pairs.select("user_id", "item_id").distinct().join(users, "user_id")
+    found = both.join(items, ["item_id", "k"]).groupBy("user_id", "item_id")
+    return found.agg(F.sum(F.col("u").cast("double") * F.col("i")).alias("product"))
+
+
+def _checked_scores(model, scored: DataFrame, name: str) -> DataFrame:
+    """Known pairs score their factor product; of the others the score is shown."""
+    joined = scored.join(_products(model, scored), ["user_id", "item_id"], "left")
+    known = F.col("product").isNotNull()
+    return joined.select(
+        "user_id",
+        "item_id",
+        known.alias("known"),
+        F.when(~known, F.col(name)).alias("mean"),
+        F.coalesce(F.abs(F.col("product") - F.col(name)) < 1e-4, F.lit(True)).alias("fits"),
+    )
+
+
+def _checked_lists(lists: DataFrame, train: DataFrame, *labels: str) -> DataFrame:
+    """Per user: list length, ranks 1 to n, scores that never rise, no item met in training."""
+    met = train.select("user_id", "item_id").distinct().withColumn("_met", F.lit(1))
+    ordered = F.array_sort(F.collect_list(F.struct("rank", "score")))
+    rows = lists.join(met, ["user_id", "item_id"], "left").groupBy("user_id", *labels)
+    found = rows.agg(
+        F.count(F.lit(1)).alias("rows"), ordered.alias("_list"), F.count("_met").alias("_seen")
+    )
+    scores = F.transform("_list", lambda x: x["score"])
+    ranks = F.transform("_list", lambda x: x["rank"].cast("int"))
+    return found.select(
+        "user_id",
+        *labels,
+        "rows",
+        (ranks == F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("ranked"),
+        (scores == F.sort_array(scores, asc=False)).alias("sorted"),
+        (F.col("_seen") == 0).alias("unseen"),
+    )
+
+
+@query
+def als_fit_(spark, sf):
+    return _sound_factors(als_fit(b.train(spark, sf)))
+
+
 @query
 def als_score_pairs_(spark, sf):
     # Half of the pairs ask for an item nobody rated, and get the mean.
     _, test = b.train_test(spark, sf)
     unknown = F.when(F.col("item_id") % 2 == 0, -F.col("item_id") - 1).otherwise(F.col("item_id"))
     pairs = test.select("user_id", unknown.alias("item_id"))
-    return als_score_pairs(_model(spark, sf), pairs)
+    model = _model(spark, sf)
+    return _checked_scores(model, als_score_pairs(model, pairs), "score")
 
 
 @query
 def als_top_n_(spark, sf):
-    return als_top_n(_model(spark, sf), 10)
+    model = _model(spark, sf)
+    lists = settle(als_top_n(model, 10), "lists")
+    fits = _checked_scores(model, lists, "score").groupBy("user_id")
+    right = fits.agg(F.bool_and(F.col("fits") & F.col("known")).alias("fits"))
+    return _checked_lists(lists, b.train(spark, sf)).join(right, "user_id")
 
 
 @query
@@ -637,8 +686,14 @@ def cold_start_fallback_(spark, sf):
 @query
 def text_vectors(spark, sf):
     texts = b.table(spark, sf, "documents").select("doc_id", "text")
-    vectors = sim.text_vectors(texts, "doc_id", dimensions=256)
-    return vectors.select("doc_id", F.size("embedding").alias("dimensions"))
+    vectors = sim.text_vectors(texts, "doc_id")
+    length = norm(F.col("embedding"))
+    return vectors.select(
+        "doc_id",
+        F.size("embedding").alias("dimensions"),
+        _all_finite("embedding").alias("finite"),
+        (F.abs(length - 1) < 1e-3).alias("unit"),
+    )
 
 
 @query
@@ -693,8 +748,8 @@ def restrict_to_train_items(spark, sf):
 
 def _candidates(spark, sf):
     near, train, _ = _fresh_neighbours(spark, sf)
-    lists = popular_for(train.select("user_id").distinct(), train, 10)
-    return candidate_union(lists, sim.semantic_top_n(train, near, 20), 20), train
+    lists = popular_for(train.select("user_id").distinct(), train, 100)
+    return candidate_union(lists, sim.semantic_top_n(train, near, 100)), train
 
 
 @query
@@ -711,71 +766,81 @@ def candidate_features_(spark, sf):
 
 @query
 def ctr_fit(spark, sf):
-    _, scored, metrics = _clicks(spark, sf)
-    return metrics.withColumn("rows", scored.agg(F.count(F.lit(1))).scalar())
+    model, scored, metrics = _clicks(spark, sf)
+    chance = (F.col("score") >= 0) & (F.col("score") <= 1)
+    counted = scored.agg(F.count(F.lit(1)).alias("rows"), F.bool_and(chance).alias("chances"))
+    # Learned on four rows of five, the model must order the rest better than a coin.
+    better = metrics.select((F.col("auc_roc") > 0.5).alias("better")).scalar()
+    return counted.withColumns({"trees": F.lit(model.trees.getNumTrees), "better": better})
 
 
 @query
 def ctr_predict_(spark, sf):
-    return ctr_predict(_clicks(spark, sf)[0], _ctr_dataset(spark, sf))
+    scored = ctr_predict(_clicks(spark, sf)[0], _ctr_dataset(spark, sf))
+    chance = (F.col("ctr_score") >= 0) & (F.col("ctr_score") <= 1)
+    return scored.select("user_id", "item_id", "label", chance.alias("chance"))
 
 
 @query
 def rerank_(spark, sf):
-    model, _, _ = _vector_model(spark, sf)
-    found = als_top_n(model, 100).select("user_id", "item_id", F.col("score").alias("model_a_score"))
-    return rerank(_clicks(spark, sf)[0], found, 10)
-
-
-def _two_stage(spark, sf, n=10):
-    model, train, test = _vector_model(spark, sf)
-    users, items = _feature_tables(spark, sf)
-    clicks = _clicks(spark, sf)[0]
-    return serving.two_stage_top_n(model, clicks, train, _neighbours(spark, sf), users, items, n)
+    found = als_top_n(_model(spark, sf), 100)
+    scored = found.select("user_id", "item_id", F.col("score").alias("model_a_score"))
+    return _checked_lists(rerank(_clicks(spark, sf)[0], scored, 10), b.train(spark, sf))
 
 
 @query
 def two_stage_top_n(spark, sf):
-    return _two_stage(spark, sf)
+    train = b.train(spark, sf)
+    users, items = _feature_tables(spark, sf)
+    lists = serving.two_stage_top_n(
+        _model(spark, sf), _clicks(spark, sf)[0], train, _neighbours(spark, sf), users, items, 10
+    )
+    return _checked_lists(lists, train)
 
 
 @query
 def variant_recommendations(spark, sf):
-    model, _, _ = _vector_model(spark, sf)
-    return serving.variant_recommendations(model, _clicks(spark, sf)[0], b.users(spark, sf))
+    lists = serving.variant_recommendations(
+        _model(spark, sf), _clicks(spark, sf)[0], b.users(spark, sf)
+    )
+    return _checked_lists(lists, b.train(spark, sf), "variant")
 
 
 @query
 def feature_importance_(spark, sf):
-    return feature_importance(_clicks(spark, sf)[0], spark, 5)
+    found = feature_importance(_clicks(spark, sf)[0], spark)
+    total = found.agg(F.sum("importance")).scalar()
+    sound = (F.col("importance") >= 0) & (F.abs(total - 1) < 1e-6)
+    return found.select("feature", sound.alias("sound"))
+
+
+def _in_range(metrics: DataFrame) -> DataFrame:
+    """Metric names with whether the value can be: shares in [0, 1], the rest not negative."""
+    share = F.col("metric").rlike("precision|recall|ndcg|auc_roc")
+    signed = F.col("run_id") == "model_b_minus_a"
+    value = F.col("value")
+    sound = F.when(signed, F.abs(value) < 1e9).when(share, value.between(0, 1)).otherwise(value >= 0)
+    return metrics.select("run_id", "metric", F.coalesce(sound, F.lit(False)).alias("sound"))
 
 
 @query
 def als_grid_search(spark, sf):
-    _, train, test = _vector_model(spark, sf)
-    grid = {
-        "n_factors": [8, 16],
-        "n_epochs": [3],
-        "regularization": [0.01],
-        "alpha": [20.0, 40.0],
-    }
-    _, rows, best = training.als_grid_search(train, test, grid)
-    return rows.withColumn("best", F.col("run_id") == best)
+    """All 36 settings."""
+    _, rows, best = training.als_grid_search(*b.train_test(spark, sf))
+    top = rows.filter("metric = 'ndcg_at_10'").agg(F.max("value")).scalar()
+    won = rows.filter((F.col("metric") == "ndcg_at_10") & (F.col("run_id") == best))
+    is_best = won.select((F.col("value") == top)).scalar()
+    return _in_range(rows).withColumn("best_wins", is_best)
 
 
 @query
 def training_job(spark, sf):
-    train, test = b.vector_train_test(spark, sf)
-    return training.training_job(
-        settle(train, "train"),
-        settle(test, "test"),
-        b.metadata(spark, sf),
-        b.item_vectors(spark, sf),
-        train_semantic=True,
-        train_clicks=True,
-        als_settings=ALS,
-        click_settings=TREES,
-    )
+    train, test = b.train_test(spark, sf)
+    rows = training.training_job(
+        train, test, b.metadata(spark, sf), b.item_vectors(spark, sf),
+        train_semantic=True, train_clicks=True,
+    )
+    return _in_range(rows)
 
 
 @query
@@ -788,7 +853,7 @@ def save_models(spark, sf):
     users = model.user_factors.select(F.lit("user_factors").alias("part"), F.size("vector").alias("n"))
     items = model.item_factors.select(F.lit("item_factors").alias("part"), F.size("vector").alias("n"))
     saved = users.unionByName(items).groupBy("part").agg(
-        F.count(F.lit(1)).alias("rows"), F.max("n").alias("size")
+        F.count(F.lit(1)).alias("rows"), F.min("n").alias("least"), F.max("n").alias("most")
     )
     return saved.withColumn("trees", F.lit(clicks.trees.getNumTrees))
 
@@ -834,11 +899,12 @@ def evaluate_semantic(spark, sf):
 
 @query
 def evaluate_two_stage(spark, sf):
-    model, train, test = _vector_model(spark, sf)
+    train, test = b.train_test(spark, sf)
     users, items = _feature_tables(spark, sf)
-    return training.evaluate_two_stage(
-        model, _clicks(spark, sf)[0], train, test, _neighbours(spark, sf), users, items
+    metrics = training.evaluate_two_stage(
+        _model(spark, sf), _clicks(spark, sf)[0], train, test, _neighbours(spark, sf), users, items
     )
+    return _in_range(evaluate.to_long(metrics).withColumn("run_id", F.lit("pipeline")))
 
 
 @query
@@ -1094,30 +1160,26 @@ def _summary(spark, sf):
 
 @query
 def alert_drift(spark, sf):
-    return alerts.alert_drift(_summary(spark, sf)).drop("message")
+    return alerts.alert_drift(_summary(spark, sf))
 
 
 @query
 def alert_latency(spark, sf):
     rows = [
-        alerts.alert_latency(b.predictions(spark, sf), limit).select(
-            F.lit(limit).alias("limit"), "name", "triggered", "observed"
-        )
-        for limit in (5.0, 500.0)
+        alerts.alert_latency(b.predictions(spark, sf), limit) for limit in (5.0, 500.0)
     ]
     return reduce(DataFrame.unionByName, rows)
 
 
 @query
 def alert_error_rate(spark, sf):
-    return alerts.alert_error_rate(b.requests(spark, sf), F.col("failed")).drop("message")
+    return alerts.alert_error_rate(b.requests(spark, sf), F.col("failed"))
 
 
 @query
 def alerts_all(spark, sf):
     log = b.requests(spark, sf)
-    found = alerts.alerts_all(_summary(spark, sf), log, log, F.col("failed"), include_fallback=True)
-    return found.drop("message")
+    return alerts.alerts_all(_summary(spark, sf), log, log, F.col("failed"), include_fallback=True)
 
 
 @query
@@ -1181,44 +1243,40 @@ def _run_stream(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{path}/rows")
 
 
-def _run_counters(stream: DataFrame, name: str) -> DataFrame:
-    """Totals per label set in complete mode; the table has one row per label set."""
+def _run_upserts(stream: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """Process all there is in update mode and read the latest row of each key."""
     spark = stream.sparkSession
     path = scratch_path(spark, name)
-    table = path.rsplit("/", 1)[1].replace("-", "_")
-    writer = (
-        stream.writeStream.format("memory")
-        .queryName(table)
-        .option("checkpointLocation", f"{path}/checkpoint")
-        .outputMode("complete")
-        .trigger(availableNow=True)
-    )
-    writer.start().awaitTermination()
-    return spark.table(table)
+    writer = live.start_upserts(stream, f"{path}/rows", f"{path}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return live.latest_rows(spark.read.parquet(f"{path}/rows"), keys)
 
 
 @query
 def stream_requests_per_minute(spark, sf):
     rows = b.predictions_of(b.event_stream(spark, sf))
-    return _run_stream(live.stream_requests_per_minute(rows), "minutes")
+    return _run_upserts(live.stream_requests_per_minute(rows), "minutes", ["minute"])
 
 
 @query
 def stream_feedback_hourly(spark, sf):
     rows = b.feedback_of(b.event_stream(spark, sf))
-    return _run_stream(live.stream_feedback_hourly(rows), "hours")
+    return _run_upserts(live.stream_feedback_hourly(rows), "hours", ["hour", "action"])
 
 
 @query
 def stream_counters(spark, sf):
     rows = b.requests_of(b.event_stream(spark, sf))
-    return _run_counters(live.stream_counters(rows, ["variant", "status"]), "counters")
+    labels = ["variant", "status"]
+    return _run_upserts(live.stream_counters(rows, labels), "counters", labels)
 
 
 @query
 def stream_latency_histogram(spark, sf):
     rows = b.predictions_of(b.event_stream(spark, sf))
-    return _run_stream(live.stream_latency_histogram(rows, "1 day"), "histogram")
+    return _run_upserts(
+        live.stream_latency_histogram(rows, "1 day"), "histogram", ["start", "variant", "le"]
+    )
 
 
 @query
@@ -1240,9 +1298,9 @@ def stream_attribution(spark, sf):
 @query
 def stream_alerts(spark, sf):
     rows = b.requests_of(b.event_stream(spark, sf))
-    return _run_stream(
-        live.stream_alerts(rows, F.col("failed"), latency_limit=60.0, error_limit=0.25), "alerts"
-    )
+    measured = live.stream_alerts(rows, F.col("failed"), latency_limit=60.0, error_limit=0.25)
+    latest = _run_upserts(measured, "alerts", ["start"])
+    return latest.filter(F.col("latency_alert") | F.col("error_alert"))
 
 
 @query

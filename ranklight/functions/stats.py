@@ -15,6 +15,12 @@ QUANTILE_DENOMINATOR = [1.432788, 0.189269, 0.001308]
 _SERIES_TERMS = 160
 
 
+def finite(value: Column | str) -> Column:
+    """The number, or null where it is NaN or infinite."""
+    number = F.col(value) if isinstance(value, str) else value
+    return F.when(F.abs(number.cast("double")) < float("inf"), number)
+
+
 def erf(x: Column) -> Column:
     """Error function by its all-positive series; 1 beyond six."""
     size = F.least(F.abs(x), F.lit(6.0))

@@ -1,4 +1,4 @@
-"""Threshold alerts; each one is a row ``name, triggered, observed, message``."""
+"""Threshold alerts; each one is a row ``name, triggered, observed, threshold, unit``."""
 
 from __future__ import annotations
 
@@ -7,38 +7,34 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ranklight.functions.stats import finite
+
 DRIFT_SHARE_LIMIT = 0.3
 LATENCY_LIMIT_MS = 500.0
 ERROR_RATE_LIMIT = 0.05
 
 
-def _alert(name: str, triggered: Column, observed: Column, bad: Column, good: Column) -> list[Column]:
+def _alert(name: str, triggered: Column, observed: Column, threshold: float, unit: str) -> list[Column]:
     return [
         F.lit(name).alias("name"),
         triggered.alias("triggered"),
         observed.cast("double").alias("observed"),
-        F.when(triggered, bad).otherwise(good).alias("message"),
+        F.lit(float(threshold)).alias("threshold"),
+        F.lit(unit).alias("unit"),
     ]
 
 
 def alert_drift(summary: DataFrame, limit: float = DRIFT_SHARE_LIMIT) -> DataFrame:
-    """From a one-row drift summary."""
-    share = F.coalesce(F.col("drift_share"), F.lit(0.0))
+    """From a one-row drift summary; the share of drifted columns is compared."""
+    share = F.coalesce(finite("drift_share"), F.lit(0.0))
     fired = F.coalesce(F.col("drift_detected"), F.lit(False)) | (share > limit)
-    bad = F.format_string(
-        f"Drift detected: %.1f%% of features drifted (threshold={limit * 100:.0f}%%).", share * 100
-    )
-    return summary.select(
-        *_alert("drift", fired, share, bad, F.lit("No significant drift detected."))
-    )
+    return summary.select(*_alert("drift", fired, share, limit, "share"))
 
 
 def alert_latency(latency: DataFrame, limit: float = LATENCY_LIMIT_MS) -> DataFrame:
-    """From rows with ``latency_ms``; their mean is compared."""
-    mean = latency.agg(F.coalesce(F.avg("latency_ms"), F.lit(0.0)).alias("mean"))
-    bad = F.format_string(f"High latency: %.1f ms (threshold={limit:.0f} ms).", F.col("mean"))
-    good = F.format_string("Latency OK: %.1f ms.", F.col("mean"))
-    return mean.select(*_alert("latency", F.col("mean") > limit, F.col("mean"), bad, good))
+    """From rows with ``latency_ms``; the mean of the finite ones is compared."""
+    mean = latency.agg(F.coalesce(F.avg(finite("latency_ms")), F.lit(0.0)).alias("mean"))
+    return mean.select(*_alert("latency", F.col("mean") > limit, F.col("mean"), limit, "ms"))
 
 
 def error_rate(errors: Column, total: Column) -> Column:
@@ -50,11 +46,7 @@ def alert_error_rate(
 ) -> DataFrame:
     """From one row per request; ``failed`` marks the errors."""
     rate = requests.agg(error_rate(F.count_if(failed), F.count(F.lit(1))).alias("rate"))
-    bad = F.format_string(
-        f"High error rate: %.1f%% (threshold={limit * 100:.0f}%%).", F.col("rate") * 100
-    )
-    good = F.format_string("Error rate OK: %.1f%%.", F.col("rate") * 100)
-    return rate.select(*_alert("error_rate", F.col("rate") > limit, F.col("rate"), bad, good))
+    return rate.select(*_alert("error_rate", F.col("rate") > limit, F.col("rate"), limit, "share"))
 
 
 def alerts_all(

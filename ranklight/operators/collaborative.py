@@ -53,13 +53,21 @@ def als_fit(
     regularization: float = 0.01,
     alpha: float = 40.0,
     seed: int = 42,
+    ratings_per_block: int = 1_000_000,
 ) -> CollaborativeModel:
+    """Factors of every user and item.
+
+    ``ratings_per_block`` sets how many blocks each side is cut into, ten at least; it
+    changes the layout, not the model.
+    """
     require_columns(train, REQUIRED, "training data")
     if not math.isfinite(alpha) or alpha <= 0:
         raise ValueError(f"alpha must be positive and finite, got {alpha}")
     rated = drop_null_ratings(train)
-    if rated.isEmpty():
+    count = rated.count()
+    if not count:
         raise ValueError("no valid ratings to fit on")
+    blocks = max(10, -(-count // ratings_per_block))
     spark = train.sparkSession
     spark.sparkContext.setCheckpointDir(scratch_root(spark))
 
@@ -77,6 +85,8 @@ def als_fit(
         alpha=alpha,
         seed=seed,
         checkpointInterval=5,
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
     )
     fitted = als.fit(matrix.select("user_index", "item_index", "confidence"))
 

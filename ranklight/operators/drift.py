@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ranklight.functions.stats import finite
 from ranklight.operators.ordering import bucket_offsets, running_sums, value_bucket
 
 MONITORED_NUMERIC = ["latency_ms", "num_items", "request_hour", "request_dayofweek"]
@@ -90,8 +91,8 @@ def drift_numeric(flagged: DataFrame, columns: Sequence[str] = MONITORED_NUMERIC
     """Shift of the mean in units of the reference spread (at least 1); all columns in one pass."""
     measures = []
     for c in columns:
-        old = F.when(_is("reference"), F.col(c).cast("double"))
-        new = F.when(_is("current"), F.col(c).cast("double"))
+        old = F.when(_is("reference"), finite(F.col(c).cast("double")))
+        new = F.when(_is("current"), finite(F.col(c).cast("double")))
         measures.append(
             F.struct(
                 F.lit(c).alias("column"),
@@ -195,7 +196,7 @@ def drift_report(
 
 def _distributions(flagged: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per distinct value the running counts of both windows, in value order."""
-    numbers = [F.col(c).cast("double").alias(c) for c in columns]
+    numbers = [finite(F.col(c).cast("double")).alias(c) for c in columns]
     long = flagged.select("part", *numbers).unpivot(["part"], list(columns), "column", "value")
     counts = long.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(
         F.count_if(_is("reference")).alias("old"), F.count_if(_is("current")).alias("new")
@@ -265,7 +266,7 @@ def drift_wasserstein(flagged: DataFrame, columns: Sequence[str] = MONITORED_NUM
     spreads = [
         F.struct(
             F.lit(c).alias("column"),
-            F.stddev_pop(F.when(_is("reference"), F.col(c).cast("double"))).alias("spread"),
+            F.stddev_pop(F.when(_is("reference"), finite(F.col(c).cast("double")))).alias("spread"),
         )
         for c in columns
     ]

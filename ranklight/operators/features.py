@@ -119,13 +119,18 @@ def confidence_matrix(train: DataFrame, alpha: float = 40.0) -> DataFrame:
     )
 
 
-def semantic_scores(train: DataFrame, neighbours: DataFrame, first_liked: int = 5) -> DataFrame:
-    """Per (user, item): mean similarity to the user's first liked items that list the item.
+def semantic_scores(
+    train: DataFrame, neighbours: DataFrame, first_liked: int | None = None
+) -> DataFrame:
+    """Per (user, item): mean similarity to the user's liked items that list the item.
 
     ``neighbours`` holds the top 20 rows ``item_id, neighbour_id, similarity`` per item.
+    All liked items count; ``first_liked`` keeps only that many of a user's earliest.
     """
-    first = top_n(liked_items(train), ["user_id"], ["timestamp", "item_id"], first_liked)
-    found = first.select("user_id", "item_id").join(neighbours, "item_id")
+    liked = liked_items(train)
+    if first_liked is not None:
+        liked = top_n(liked, ["user_id"], ["timestamp", "item_id"], first_liked)
+    found = liked.select("user_id", "item_id").join(neighbours, "item_id")
     return found.groupBy("user_id", F.col("neighbour_id").alias("item_id")).agg(
         F.avg("similarity").alias("model_b_score")
     )

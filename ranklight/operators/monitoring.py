@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ranklight.functions.stats import finite
 from ranklight.functions.text import first_items_text
 
 # Upper bounds of the latency (seconds) and score histograms.
 LATENCY_BUCKETS = [0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5]
 SCORE_BUCKETS = [0.0, 0.5, 1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.0, 4.5, 5.0]
-ACTIONS = ["click", "purchase", "ignore"]
 
 
 def kpis(predictions: DataFrame, feedback: DataFrame) -> DataFrame:
@@ -26,7 +26,7 @@ def kpis(predictions: DataFrame, feedback: DataFrame) -> DataFrame:
     ).scalar()
     shown = predictions.agg(
         F.count(F.lit(1)).alias("predictions"),
-        F.coalesce(F.avg("latency_ms"), F.lit(0.0)).alias("avg_latency_ms"),
+        F.coalesce(F.avg(finite("latency_ms")), F.lit(0.0)).alias("avg_latency_ms"),
     ).withColumn("_events", events)
     clicks = F.col("_events.clicks")
     rate = F.coalesce(F.try_divide(clicks.cast("double"), F.col("predictions")), F.lit(0.0))
@@ -60,11 +60,12 @@ def action_counts(feedback: DataFrame) -> DataFrame:
     return counts_by(feedback, "action")
 
 
-def feedback_hourly(feedback: DataFrame, actions: Sequence[str] = ACTIONS) -> DataFrame:
-    """Events per hour, one column per action, absent ones 0."""
+def feedback_hourly(feedback: DataFrame) -> DataFrame:
+    """Long form ``hour, action, events``: every action that occurs, null as ``unknown``."""
     timed = feedback.filter(F.col("logged_at").isNotNull())
     hour = F.date_trunc("hour", "logged_at").alias("hour")
-    return timed.groupBy(hour).pivot("action", list(actions)).count().na.fill(0)
+    action = F.coalesce("action", F.lit("unknown")).alias("action")
+    return timed.groupBy(hour, action).agg(F.count(F.lit(1)).alias("events"))
 
 
 def _recent(df: DataFrame, time: str, ties: Sequence[str], n: int) -> DataFrame:
@@ -115,6 +116,7 @@ def event_counters(requests: DataFrame, feedback: DataFrame, errors: DataFrame)
 
 def histogram_columns(value: Column, bounds: Sequence[float]) -> list[Column]:
     """Cumulative count per upper bound and above all, plus sum and count, as one struct list."""
+    value = finite(value)
     cells = [
         F.struct(F.lit(str(float(b))).alias("le"), F.count_if(value <= b).alias("observations"))
         for b in bounds

@@ -17,16 +17,25 @@ from pyspark.sql import functions as F
 _OCTAVE_STEPS = 256
 _SHIFT = 200_000
 _LOWEST = -(2**62)
+_END = 10_000_000
 
 
 def value_bucket(value: Column) -> Column:
     """Order-preserving bucket of a number: sign and magnitude to about 0.4 percent.
 
-    There are fewer than 770,000 different buckets over the whole double range.
+    There are fewer than 770,000 different buckets over the whole double range. Infinities
+    have end buckets of their own, and NaN, which sorts last, the one after them.
     """
     number = value.cast("double")
     steps = F.floor(F.log(F.abs(number)) * _OCTAVE_STEPS) + _SHIFT
-    return F.when(number == 0, F.lit(0)).otherwise(F.signum(number).cast("bigint") * steps)
+    usual = F.signum(number).cast("bigint") * steps
+    return (
+        F.when(F.isnan(number), F.lit(_END + 1))
+        .when(number == float("inf"), F.lit(_END))
+        .when(number == float("-inf"), F.lit(-_END))
+        .when(number == 0, F.lit(0))
+        .otherwise(usual)
+    )
 
 
 def bucket_offsets(

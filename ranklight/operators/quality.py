@@ -34,10 +34,13 @@ def _blank(column: str) -> Column:
 
 
 def required_columns(df: DataFrame) -> DataFrame:
-    """Schema test only; reads no rows."""
-    missing = sorted(set(INTERACTION_COLUMNS) - set(df.columns))
-    one = df.sparkSession.range(1)
-    return one.select(*_check("required_columns", F.lit(len(missing))))
+    """Required columns that the table lacks, or that hold no value in any of its rows."""
+    there = [c for c in INTERACTION_COLUMNS if c in df.columns]
+    missing = len(INTERACTION_COLUMNS) - len(there)
+    filled = [F.count(c).alias(c) for c in there]
+    counted = df.agg(F.count(F.lit(1)).alias("_rows"), *filled)
+    empty = [((F.col("_rows") > 0) & (F.col(c) == 0)).cast("bigint") for c in there]
+    return counted.select(*_check("required_columns", sum(empty, F.lit(missing).cast("bigint"))))
 
 
 def nulls(df: DataFrame) -> DataFrame:

@@ -37,18 +37,18 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a folder of this machine.
-    """
+    """The shared folder named by ``spark.checkpoint.dir``; without that setting an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not root:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="ranklight-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return root.rstrip("/")
+
+
+def own_scratch(spark: SparkSession) -> SparkSession:
+    """For trials on one machine: where no folder is set, set a new temporary one."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ranklight-"))
+    return spark
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ranklight import schemas
+from ranklight.functions.stats import finite
 
 _ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -30,7 +31,7 @@ def prediction_columns(lines: DataFrame) -> DataFrame:
         "user_id",
         F.coalesce("variant", F.lit("unknown")).alias("variant"),
         F.coalesce(listed, F.array().cast("array<string>")).alias("items"),
-        F.col("latency_ms").try_cast("double").alias("latency_ms"),
+        finite(F.col("latency_ms").try_cast("double")).alias("latency_ms"),
     )
     return derive_columns(typed)
 
@@ -69,11 +70,14 @@ def read_feedback(spark: SparkSession, path: str, ordered: bool = False) -> Data
 
 
 def stream_predictions(spark: SparkSession, path: str) -> DataFrame:
-    return prediction_columns(spark.readStream.schema(schemas.PREDICTION_LINES).json(path))
+    """Malformed lines fail the stream, as they fail the batch."""
+    reader = spark.readStream.schema(schemas.PREDICTION_LINES).option("mode", "FAILFAST")
+    return prediction_columns(reader.json(path))
 
 
 def stream_feedback(spark: SparkSession, path: str) -> DataFrame:
-    return feedback_columns(spark.readStream.schema(schemas.FEEDBACK_LINES).json(path))
+    reader = spark.readStream.schema(schemas.FEEDBACK_LINES).option("mode", "FAILFAST")
+    return feedback_columns(reader.json(path))
 
 
 def prediction_records(predictions: DataFrame) -> DataFrame:

@@ -4,27 +4,28 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ranklight import schemas
 
 
-def _scan(spark: SparkSession, path: str, schema, fmt: str, n: int | None) -> DataFrame:
+def _scan(spark: SparkSession, path: str, schema, fmt: str) -> DataFrame:
     df = spark.read.schema(schema).format(fmt).load(path)
-    df = df.withColumnRenamed("parent_asin", "item_id")
-    return df.limit(n) if n is not None else df
+    return df.withColumnRenamed("parent_asin", "item_id")
 
 
-def load_reviews(
-    spark: SparkSession, path: str, fmt: str = "json", n: int | None = None
-) -> DataFrame:
-    """Raw reviews; ``n`` bounds the scan to that many rows."""
-    return _scan(spark, path, schemas.REVIEWS, fmt, n)
+def hash_share(df: DataFrame, share: float, *keys: str, seed: int = 42) -> DataFrame:
+    """A reproducible share of the rows, chosen by a hash of ``keys`` in every task alike."""
+    drawn = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1_000_000))
+    return df.filter(drawn < int(share * 1_000_000))
 
 
-def load_metadata(
-    spark: SparkSession, path: str, fmt: str = "json", n: int | None = None
-) -> DataFrame:
-    return _scan(spark, path, schemas.METADATA, fmt, n)
+def load_reviews(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    return _scan(spark, path, schemas.REVIEWS, fmt)
+
+
+def load_metadata(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    return _scan(spark, path, schemas.METADATA, fmt)
 
 
 def write_splits(

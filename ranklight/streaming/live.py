@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ranklight.functions.stats import finite
 from ranklight.operators.alerts import ERROR_RATE_LIMIT, LATENCY_LIMIT_MS, error_rate
 from ranklight.operators.experiment import route_traffic
 from ranklight.operators.monitoring import LATENCY_BUCKETS, histogram_columns
@@ -95,10 +96,13 @@ def stream_alerts(
     latency_limit: float = LATENCY_LIMIT_MS,
     error_limit: float = ERROR_RATE_LIMIT,
 ) -> DataFrame:
-    """Windows in which the mean latency or the error rate is over its limit."""
+    """Per window the mean latency, the error rate, and whether each is over its limit.
+
+    An update may lift an alert again, so readers filter the latest row of a window.
+    """
     timed, window = _window(requests, "timestamp", length, lateness)
     measured = timed.groupBy(window).agg(
-        F.coalesce(F.avg("latency_ms"), F.lit(0.0)).alias("mean_latency_ms"),
+        F.coalesce(F.avg(finite("latency_ms")), F.lit(0.0)).alias("mean_latency_ms"),
         error_rate(F.count_if(failed), F.count(F.lit(1))).alias("error_rate"),
     )
     return measured.select(
@@ -107,7 +111,29 @@ def stream_alerts(
         "error_rate",
         (F.col("mean_latency_ms") > latency_limit).alias("latency_alert"),
         (F.col("error_rate") > error_limit).alias("error_alert"),
-    ).filter(F.col("latency_alert") | F.col("error_alert"))
+    )
+
+
+def start_upserts(stream: DataFrame, path: str, checkpoint: str):
+    """Write a windowed aggregate in update mode: every change of a row, with its batch number.
+
+    No window is held back until the watermark passes it, so the last ones count too;
+    ``latest_rows`` reads what holds now. A batch that is run again writes the
+    same rows under the same number.
+    """
+
+    def add(batch: DataFrame, number: int) -> None:
+        batch.withColumn("_batch", F.lit(number)).write.mode("append").parquet(path)
+
+    writer = stream.writeStream.foreachBatch(add).outputMode("update")
+    return writer.option("checkpointLocation", checkpoint)
+
+
+def latest_rows(written: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Of the rows that ``start_upserts`` wrote, the last of each key."""
+    values = [c for c in written.columns if c not in (*keys, "_batch")]
+    newest = F.max_by(F.struct(*values), "_batch").alias("_newest")
+    return written.groupBy(*keys).agg(newest).select(*keys, "_newest.*")
 
 
 def stream_dedup(

@@ -110,9 +110,11 @@ def test_semantic_score_uses_the_first_liked_items(spark, ratings):
         "item_id string, neighbour_id string, similarity double",
     )
     pairs = spark.createDataFrame([("u", "x"), ("u", "y")], "user_id string, item_id string")
-    out = feat.add_semantic_score(pairs, feat.semantic_scores(train, near))
+    out = feat.add_semantic_score(pairs, feat.semantic_scores(train, near, first_liked=5))
     got = {r["item_id"]: r["model_b_score"] for r in out.collect()}
     assert got == {"x": pytest.approx(0.6), "y": 0.0}
+    every = feat.add_semantic_score(pairs, feat.semantic_scores(train, near))
+    assert {r["item_id"]: r["model_b_score"] for r in every.collect()} == {"x": pytest.approx(0.4), "y": 0.9}
 
 
 def test_select_features(spark):
