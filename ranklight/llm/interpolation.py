@@ -293,15 +293,16 @@ def score_documents(
     training: str = "training",
     order: int = 3,
     held_part: int = 10,
-    chunk_bytes: int = 8 << 20,
-    bucket_keys: int = 2_000_000,
+    chunk_bytes: int = 4 << 20,
+    bucket_keys: int = 1_000_000,
 ) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every document.
 
     ``training`` is a boolean column. A tenth (``held_part``) of the training documents, chosen by a hash of the
     id, teaches the weights, with its own counts deleted; scores use all training counts.
     Null texts are empty: one end token. Null and repeated ids are documents like others.
-    Keys have 26 bits more than the token count needs, 64 at most.
+    Keys of words have 64 bits; keys of longer n-grams 18 bits more than the token count
+    needs, 64 at most, so about one in 2**17 shares its counts with another.
     """
     held = F.col(training) & (F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(held_part)) == 0)
     # Ids travel as text: lists of numbers with nulls would become floating point on the way.
@@ -323,7 +324,7 @@ def score_documents(
     if size["tokens"] is None:
         none = docs.sparkSession.createDataFrame([], _SCORED)
         return none.withColumn("doc_id", F.col("doc_id").cast(kind))
-    bits = min(64, int(size["tokens"]).bit_length() + 26)
+    bits = min(64, int(size["tokens"]).bit_length() + 18)
     buckets = parts_for(order * int(size["tokens"]), bucket_keys)
     answers = settle(
         _questions(chunks, order, bits, buckets).groupBy("bucket").applyInPandas(_answered, _ANSWER_SCHEMA),
