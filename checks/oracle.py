@@ -545,6 +545,8 @@ BODIES: dict[str, str] = {
         FROM nearest WHERE item_id IN (SELECT item_id FROM liked)""",
     "semantic_top_n": """SELECT user_id, item_id, round(score, 6) AS score, rank
         FROM semantic WHERE rank <= 10""",
+    "item_neighbours_lsh": """SELECT count(*) > 1 AS few_pairs, count(*) > 1 AS twice_chance
+        FROM vectors""",
     "restrict_to_train_items": """SELECT item_id, title FROM meta WHERE item_id IN (
         SELECT item_id FROM train WHERE rating >= 5 GROUP BY item_id HAVING count(*) >= 5)""",
     "candidate_union": f"SELECT user_id, item_id, round(score, 6) AS score FROM {_CANDIDATES}",

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from math import ceil, log2
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import (
-    IDF,
-    BucketedRandomProjectionLSH,
-    HashingTF,
-    Normalizer,
-    Tokenizer,
-)
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import IDF, HashingTF, Normalizer, Tokenizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,32 +65,62 @@ def _as_neighbours(best: DataFrame) -> DataFrame:
     )
 
 
-def item_neighbours_lsh(
+def hyperplane_buckets(
     vectors: DataFrame,
-    n: int = 10,
-    tables: int = 8,
-    bucket_length: float = 0.5,
+    tables: int = 12,
+    bits: int | None = None,
+    target_bucket: int = 256,
+    least_bits: int = 6,
     seed: int = 42,
-    rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
-    """Approximate: only items that share a hash bucket in some table are compared.
+    """``id, vector, _bucket``: each item once for each table, by the sides of ``bits`` random planes.
 
-    A bucket of any size is compared block by block, so one that holds a large share
-    of the items is split over tasks and never emits its pairs.
+    Without ``bits`` their number grows with the logarithm of items over ``target_bucket``, so
+    a bucket's expected size does not grow with the catalogue. Null vectors are left out.
     """
-    hasher = BucketedRandomProjectionLSH(
-        inputCol="_vector", outputCol="_hashes", numHashTables=tables,
-        bucketLength=bucket_length, seed=seed,
-    )
-    prepared = vectors.withColumn("_vector", array_to_vector("embedding"))
-    hashed = hasher.fit(prepared).transform(prepared)
-    slots = hashed.select(
-        F.col("item_id").alias("id"),
-        F.col("embedding").alias("vector"),
-        F.posexplode("_hashes").alias("_table", "_hash"),
+    named = vectors.select(F.col("item_id").alias("id"), F.col("embedding").alias("vector"))
+    named = named.filter(F.col("vector").isNotNull())
+    if bits is None:
+        count = max(1, named.count())
+        bits = max(least_bits, ceil(log2(count / target_bucket)))
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False)
+            matrix = flat.reshape(batch.num_rows, -1).astype(float)
+            planes = np.random.default_rng(seed).normal(size=(matrix.shape[1], tables * bits))
+            sides = (matrix @ planes > 0).reshape(batch.num_rows, tables, bits)
+            keys = sides @ (1 << np.arange(bits, dtype=np.int64))
+            own = pa.array(list(keys), pa.list_(pa.int64()))
+            yield batch.append_column("keys", own)
+
+    kinds = {f.name: f.dataType.simpleString() for f in named.schema}
+    schema = f"id {kinds['id']}, vector {kinds['vector']}, keys array<long>"
+    slots = named.mapInArrow(hashed, schema).select(
+        "id", "vector", F.posexplode("keys").alias("_table", "_key")
     )
-    bucket = F.xxhash64("_table", vector_to_array("_hash"))
-    sides = slots.select("id", "vector", bucket.alias("_bucket"))
+    return slots.select("id", "vector", F.xxhash64("_table", "_key").alias("_bucket"))
+
+
+def compared_share(buckets: DataFrame, items: int) -> DataFrame:
+    """One row ``share``: pairs inside buckets, repeats over the tables counted, over all pairs."""
+    sizes = buckets.groupBy("_bucket").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    pairs = F.sum(F.col("n") * (F.col("n") - 1))
+    return sizes.agg((pairs / F.lit(float(max(1, items * (items - 1))))).alias("share"))
+
+
+def item_neighbours_lsh(
+    vectors: DataFrame, n: int = 10, rows_per_block: int = ROWS_PER_BLOCK, **hashing
+) -> DataFrame:
+    """Approximate: only items on the same sides of all planes of some table are compared.
+
+    A bucket of any size is compared block by block, so one that holds a large share
+    of the items is split over tasks and never emits its pairs. ``hashing`` goes to
+    ``hyperplane_buckets``.
+    """
+    sides = hyperplane_buckets(vectors, **hashing)
     best = best_products(
         sides, sides, n, exclude_self=True, group="_bucket", rows_per_block=rows_per_block
     )
@@ -105,9 +134,18 @@ def recall_against(approximate: DataFrame, exact: DataFrame) -> DataFrame:
     return hit.agg((F.count("_hit") / F.count(F.lit(1))).alias("recall"))
 
 
-def neighbour_table(train: DataFrame, vectors: DataFrame, n: int = NEIGHBOURS) -> DataFrame:
-    """Top neighbours of every liked item, for user scores and recommendations."""
-    asked = vectors.join(liked_items(train).select("item_id").distinct(), "item_id", "left_semi")
+def neighbour_table(
+    train: DataFrame, vectors: DataFrame, n: int = NEIGHBOURS, approximate: bool = False
+) -> DataFrame:
+    """Top neighbours of every liked item, for user scores and recommendations.
+
+    The exact form compares each liked item with all items; ``approximate`` compares only
+    those that share a bucket of random planes, for catalogues too large for that.
+    """
+    liked = liked_items(train).select("item_id").distinct()
+    if approximate:
+        return item_neighbours_lsh(vectors, n).join(liked, "item_id", "left_semi")
+    asked = vectors.join(liked, "item_id", "left_semi")
     named = [F.col("item_id").alias("id"), F.col("embedding").alias("vector")]
     return _as_neighbours(
         best_products(asked.select(*named), vectors.select(*named), n, exclude_self=True)

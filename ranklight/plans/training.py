@@ -51,13 +51,9 @@ def evaluate_semantic(
     train: DataFrame,
     test: DataFrame,
     neighbours: DataFrame,
-    sample_users: int | None = None,
     ks: Sequence[int] = CUTOFFS,
 ) -> DataFrame:
-    """List metrics of the semantic lists; all test users unless a sample is asked for."""
-    if sample_users:
-        users = feat.sample_users(test, sample_users)
-        test = test.join(users, "user_id", "left_semi")
+    """List metrics of the semantic lists over all test users."""
     history = train.join(test.select("user_id").distinct(), "user_id", "left_semi")
     return evaluate_topn(semantic_top_n(history, neighbours, max(ks)), test, ks)
 
@@ -66,16 +62,12 @@ def cold_start_metrics(
     train: DataFrame,
     test: DataFrame,
     neighbours: DataFrame,
-    sample_users: int | None = None,
     ks: Sequence[int] = CUTOFFS,
 ) -> DataFrame:
-    """Rows ``segment`` and the metrics for warm and for cold test items.
-
-    One set of lists serves both segments unless users are sampled per segment.
-    """
+    """Rows ``segment`` and the metrics for warm and for cold test items."""
     parts = dict(zip(("warm", "cold"), cold_start_parts(train, test)))
     rows = [
-        evaluate_semantic(train, part, neighbours, sample_users, ks).select(
+        evaluate_semantic(train, part, neighbours, ks).select(
             F.lit(name).alias("segment"), "*"
         )
         for name, part in parts.items()
@@ -91,12 +83,8 @@ def evaluate_two_stage(
     neighbours: DataFrame | None,
     user_table: DataFrame,
     item_table: DataFrame,
-    sample_users: int | None = None,
     ks: Sequence[int] = CUTOFFS,
 ) -> DataFrame:
-    if sample_users:
-        users = feat.sample_users(test, sample_users)
-        test = test.join(users, "user_id", "left_semi")
     lists = two_stage_top_n(
         model, clicks, train, neighbours, user_table, item_table, max(ks), users=test
     )
@@ -165,9 +153,14 @@ def training_job(
     train_clicks: bool = False,
     als_settings: Mapping | None = None,
     click_settings: Mapping | None = None,
-    sample_users: int | None = None,
+    click_users: int | None = None,
+    approximate: bool = False,
 ) -> DataFrame:
-    """Metric rows ``run_id, metric, value`` of every model the flags ask for."""
+    """Metric rows ``run_id, metric, value`` of every model the flags ask for.
+
+    ``click_users`` bounds the users whose labelled rows the click model learns from; every
+    evaluation covers all test users. ``approximate`` chooses the hashed item search.
+    """
     rows = []
     if tuning:
         model, searched, best = als_grid_search(train, test)
@@ -181,10 +174,9 @@ def training_job(
     neighbours = None
     if train_semantic and vectors is not None:
         known = restrict_to_train_items(vectors, train)
-        neighbours = settle(neighbour_table(train, known), "neighbours")
+        neighbours = settle(neighbour_table(train, known, approximate=approximate), "neighbours")
         metrics_b = settle(
-            _labelled(evaluate_semantic(train, test, neighbours, sample_users), "model_b"),
-            "metrics-b",
+            _labelled(evaluate_semantic(train, test, neighbours), "model_b"), "metrics-b"
         )
         gap = compare_metric_sets(metrics_a, metrics_b).filter(F.col("diff_b_minus_a").isNotNull())
         cold = cold_start_segments(train, test).select(
@@ -202,11 +194,11 @@ def training_job(
         user_table = settle(feat.user_features(train), "user-features")
         item_table = settle(feat.item_features(train, metadata), "item-features")
         dataset = build_ctr_dataset(
-            train, user_table, item_table, model, neighbours, sample_users=sample_users
+            train, user_table, item_table, model, neighbours, sample_users=click_users
         )
         clicks, _, metrics_c = train_click_model(dataset, **(click_settings or {}))
         pipeline = evaluate_two_stage(
-            model, clicks, train, test, neighbours, user_table, item_table, sample_users
+            model, clicks, train, test, neighbours, user_table, item_table
         )
         rows += [_labelled(metrics_c, "model_c"), _labelled(pipeline, "pipeline")]
     return reduce(DataFrame.unionByName, rows)
