@@ -330,7 +330,7 @@ def temporal_split(spark, sf):
 
 def _parity_split(spark, sf):
     side = F.when((F.col("user_id") + F.col("item_id")) % 5 == 0, "test").otherwise("train")
-    return prep.split_sides(b.clean(spark, sf).withColumn("split", side))
+    return prep.split_sides(settle(b.clean(spark, sf).withColumn("split", side), "mixed"))
 
 
 def _on_both_splits(check, spark, sf):

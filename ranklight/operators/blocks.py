@@ -64,6 +64,7 @@ def best_products(
     """
     if n <= 0:
         raise ValueError(f"n must be positive, got {n}")
+    queries, items = (x.filter(F.col("vector").isNotNull()) for x in (queries, items))
     spark = queries.sparkSession
     parallelism = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [group] if group else []
@@ -135,6 +136,9 @@ def best_products(
 
 
 def _matrix(vectors: pa.Array) -> np.ndarray:
+    lengths = set(pa.compute.list_value_length(vectors).to_pylist())
+    if len(lengths) > 1:
+        raise ValueError(f"vectors of one block differ in length: {sorted(lengths)}")
     values = vectors.flatten().to_numpy(zero_copy_only=False)
     return values.reshape(len(vectors), -1)
 
@@ -172,10 +176,13 @@ def _cell_worker(n: int, exclude_self: bool, digits: int | None):
                     rows = np.nonzero(np.asarray(same.is_valid()))[0]
                     banned = (rows, same.drop_null().to_numpy())
                 elif "seen_q" in cells and cells["seen_q"][at].is_valid:
-                    banned = (
-                        positions(q_ids, cells["seen_q"][at].values).astype(int),
-                        positions(i_ids, cells["seen_i"][at].values).astype(int),
-                    )
+                    met = [
+                        positions(q_ids, cells["seen_q"][at].values),
+                        positions(i_ids, cells["seen_i"][at].values),
+                    ]
+                    # A seen item without a vector is in no block and bans nothing.
+                    there = ~(np.isnan(met[0].astype(float)) | np.isnan(met[1].astype(float)))
+                    banned = tuple(x[there].astype(int) for x in met)
                 row, col, score = best(
                     _matrix(cells["q_vectors"][at].values),
                     _matrix(cells["i_vectors"][at].values),

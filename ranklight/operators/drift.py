@@ -45,12 +45,14 @@ def reference_current_split(
     Only the key of the last reference row is searched for: first its hour, then its
     second, then its place among the rows of that second. Each step brings one row to
     the driver; the log itself is then labelled in one pass without sort or exchange,
-    however many tests read it.
+    however many tests read it. Rows of one time and tie are told apart by a hash of all
+    their columns; a null tie comes first.
     """
     micros = F.coalesce(F.unix_micros(F.col(time).cast("timestamp")), F.lit(_NO_TIME))
     keyed = dataset.select(
         micros.alias("_micros"),
         F.col(tie).alias("_tie"),
+        F.xxhash64(*dataset.columns).alias("_hash"),
         F.floor(micros / 1_000_000).alias("_second"),
         F.floor(micros / 3_600_000_000).alias("_hour"),
     )
@@ -68,11 +70,14 @@ def reference_current_split(
     seconds = bucket_offsets(in_hour, [], "_second", {"rows": F.lit(1)})
     second = _cut(seconds.withColumn("_wanted", F.lit(hour["left"])), "_second")
     in_second = in_hour.filter(F.col("_second") == second["at"])
-    place = F.row_number().over(W.partitionBy("_second").orderBy("_micros", "_tie"))
+    place = F.row_number().over(W.partitionBy("_second").orderBy("_micros", "_tie", "_hash"))
     last = in_second.withColumn("_place", place).filter(F.col("_place") == second["left"]).first()
 
     earlier = micros < last["_micros"]
-    tied = (micros == last["_micros"]) & (F.col(tie) <= F.lit(last["_tie"]))
+    kind = dataset.schema[tie].dataType
+    own = F.struct(F.col(tie).alias("t"), F.xxhash64(*dataset.columns).alias("h"))
+    cut = F.struct(F.lit(last["_tie"]).cast(kind).alias("t"), F.lit(last["_hash"]).alias("h"))
+    tied = (micros == last["_micros"]) & (own <= cut)
     return dataset.withColumn("part", F.when(earlier | tied, "reference").otherwise("current"))
 
 
@@ -157,8 +162,33 @@ def drift_columns(
     return rows.withColumn("drift_score", F.round("drift_score", 4))
 
 
-def drift_summary(flagged: DataFrame, columns: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
-    """One row: status, share of drifted columns, verdict, window sizes."""
+def drift_tested(
+    flagged: DataFrame,
+    numeric: Sequence[str] = MONITORED_NUMERIC,
+    categorical: Sequence[str] = MONITORED_CATEGORICAL,
+    level: float = 0.05,
+) -> DataFrame:
+    """The same rows by two-sample tests: the p value, and drift where it is below ``level``."""
+    tests = (("ks", drift_ks(flagged, numeric)), ("chi2", drift_chi2(flagged, categorical)))
+    rows = [
+        df.select(
+            "column",
+            F.round("p_value", 4).alias("drift_score"),
+            F.coalesce(F.col("p_value") < level, F.lit(False)).alias("drift_detected"),
+            F.lit(name).alias("method"),
+        )
+        for name, df in tests
+    ]
+    return rows[0].unionByName(rows[1])
+
+
+def drift_summary(
+    flagged: DataFrame, columns: DataFrame, min_rows: int = MIN_ROWS, status: str = "fallback"
+) -> DataFrame:
+    """One row: status, share of drifted columns, verdict, window sizes.
+
+    ``status`` names how the columns were judged: ok for the tests, fallback for the rules.
+    """
     sizes = _part_sizes(flagged)
     rolled = columns.agg(
         F.count_if("drift_detected").alias("_drifted"), F.count(F.lit(1)).alias("_all")
@@ -167,7 +197,7 @@ def drift_summary(flagged: DataFrame, columns: DataFrame, min_rows: int = MIN_RO
     old, new = F.col("_sizes.old"), F.col("_sizes.new")
     enough = (old >= min_rows) & (new >= min_rows)
     return rolled.select(
-        F.when(enough, "fallback").otherwise("not_enough_data").alias("status"),
+        F.when(enough, status).otherwise("not_enough_data").alias("status"),
         F.when(enough, share > SHARE_LIMIT).alias("drift_detected"),
         F.when(enough, F.round(share, 4)).alias("drift_share"),
         old.alias("reference_rows"),

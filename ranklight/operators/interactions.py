@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ranklight.operators.ordering import row_numbers
 from ranklight.schemas import INTERACTION_COLUMNS, require_columns
 
 SECONDS_PER_DAY = 86_400
+# Larger times are milliseconds: as seconds they would lie in the year 5138.
+_LARGEST_SECONDS = 100_000_000_000
 
 
 def project_core(df: DataFrame) -> DataFrame:
@@ -76,18 +78,24 @@ def preprocess(
     return _unpack(pairs, INTERACTION_COLUMNS)
 
 
-def temporal_split(
-    df: DataFrame, test_ratio: float = 0.2, bucket_ticks: int = SECONDS_PER_DAY
-) -> DataFrame:
+def day_bucket(time: Column) -> Column:
+    """Days of a time in seconds or milliseconds; never falls as the number grows."""
+    days = F.floor(time / SECONDS_PER_DAY)
+    return F.when(
+        time > _LARGEST_SECONDS, F.floor(time / (1000 * SECONDS_PER_DAY)) + 2_000_000
+    ).otherwise(days)
+
+
+def temporal_split(df: DataFrame, test_ratio: float = 0.2) -> DataFrame:
     """Add ``split``: the first share of each user's rows by time is train, the rest test.
 
-    Users with one row stay in train. ``bucket_ticks`` is the time span one task
-    ranks at once for one user.
+    Users with one row stay in train. One task ranks one day of one user at a time,
+    whether times are seconds or milliseconds.
     """
     placed = row_numbers(
         df,
         ["user_id"],
-        F.floor(F.col("timestamp") / bucket_ticks),
+        day_bucket(F.col("timestamp")),
         ["timestamp", "item_id"],
         "_position",
         totals=True,

@@ -37,10 +37,11 @@ def prepare_interactions(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Align, clean, check, split, check again, and write the three tables if asked.
 
-    The cleaned and the split tables are each written once: the checks and the sinks
+    The aligned metadata, the cleaned and the split table are each written once: the checks and the sinks
     read them instead of running the preparation again.
     """
     reviews, metadata = prep.align_catalog(reviews, metadata)
+    metadata = settle(metadata, "metadata")
     clean = settle(prep.preprocess(reviews, min_interactions, order), "clean")
     quality.assert_passed(quality.check_reviews(clean, range_ms), "review checks failed")
     quality.assert_passed(quality.check_metadata(metadata), "metadata checks failed")

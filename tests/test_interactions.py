@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from ranklight.operators import interactions as prep
 from ranklight.operators import quality
@@ -142,3 +143,10 @@ def test_prepare_writes_and_checks(ratings, spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "train.parquet")).count() == 24
     with pytest.raises(ValueError, match="rating_range"):
         prepare_interactions(ratings([(u, i, 9.0, t) for u, i, _, t in rows]), metadata, min_interactions=5)
+
+
+def test_days_of_seconds_and_milliseconds_never_fall(spark):
+    times = [0, 86_399, 86_400, 99_999_999_999, 100_000_000_001, 1_700_000_000_000, 1_700_086_400_000]
+    df = spark.createDataFrame([(t,) for t in times], "t long")
+    days = [r["d"] for r in df.orderBy("t").select(prep.day_bucket(F.col("t")).alias("d")).collect()]
+    assert days == sorted(days) and days[-1] == days[-2] + 1 and days[:3] == [0, 0, 1]

@@ -179,3 +179,29 @@ def test_drift_alert_needs_an_ok_report(spark):
     names = lambda **k: [r["name"] for r in alerts.alerts_all(fallback, log, log, F.col("failed"), **k).collect()]
     assert names() == ["latency", "error_rate"]
     assert names(include_fallback=True) == ["drift", "latency", "error_rate"]
+
+
+def test_tested_report_is_ok_and_fires(spark):
+    rows = [(datetime(2024, 1, 1) + timedelta(minutes=i), f"u{i % 7}", "A", ["x"], 10.0 + (i >= 100) * 50 + i % 3) for i in range(200)]
+    log = logs.derive_columns(spark.createDataFrame(rows, "timestamp timestamp, user_id string, variant string, items array<string>, latency_ms double"))
+    summary = analyze_prediction_drift(log, tests=True).first()
+    assert summary["status"] == "ok" and summary["drift_share"] > 0
+    assert analyze_prediction_drift(log).first()["status"] == "fallback"
+
+
+def test_non_finite_values_count_as_missing(spark):
+    schema = "part string, latency_ms double"
+    rows = [("reference", float(i)) for i in range(30)] + [("current", float(i)) for i in range(30)]
+    odd = [("current", float("nan")), ("reference", float("inf")), ("current", float("-inf")), ("current", None)]
+    clean, dirty = (spark.createDataFrame(r, schema) for r in (rows, rows + odd))
+    for test in (drift.drift_numeric, drift.drift_ks, drift.drift_wasserstein):
+        assert test(dirty, ["latency_ms"]).collect() == test(clean, ["latency_ms"]).collect()
+    latency = spark.createDataFrame([(100.0,), (float("nan"),)], "latency_ms double")
+    assert alerts.alert_latency(latency).first()["observed"] == 100.0
+
+
+def test_rows_without_time_are_cut_in_two(spark):
+    rows = [(None, "u", float(i)) for i in range(100)]
+    df = spark.createDataFrame(rows, "timestamp timestamp, user_id string, latency_ms double")
+    parts = drift.reference_current_split(df, "timestamp", "user_id").groupBy("part").count()
+    assert {r["part"]: r["count"] for r in parts.collect()} == {"reference": 50, "current": 50}
