@@ -15,6 +15,14 @@ QUANTILE_DENOMINATOR = [1.432788, 0.189269, 0.001308]
 _SERIES_TERMS = 160
 
 
+def chi_square_p(statistic: Column, degrees: Column) -> Column:
+    """Upper tail of the chi-square distribution by Wilson and Hilferty's cube root; 1 without degrees."""
+    spread = F.lit(2.0) / (9.0 * degrees)
+    z = (F.pow(statistic / degrees, F.lit(1.0 / 3.0)) - (1.0 - spread)) / F.sqrt(spread)
+    tail = 0.5 * (1.0 - erf(z / math.sqrt(2.0)))
+    return F.when(degrees > 0, tail).otherwise(F.lit(1.0))
+
+
 def finite(value: Column | str) -> Column:
     """The number, or null where it is NaN or infinite."""
     number = F.col(value) if isinstance(value, str) else value

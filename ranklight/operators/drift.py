@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ranklight.functions.stats import finite
+from ranklight.functions.stats import chi_square_p, finite
 from ranklight.operators.ordering import bucket_offsets, running_sums, value_bucket
 
 MONITORED_NUMERIC = ["latency_ms", "num_items", "request_hour", "request_dayofweek"]
@@ -169,7 +169,9 @@ def drift_tested(
     level: float = 0.05,
 ) -> DataFrame:
     """The same rows by two-sample tests: the p value, and drift where it is below ``level``."""
-    tests = (("ks", drift_ks(flagged, numeric)), ("chi2", drift_chi2(flagged, categorical)))
+    counted = drift_chi2(flagged, categorical)
+    counted = counted.withColumn("p_value", chi_square_p(F.col("statistic"), F.col("degrees")))
+    tests = (("ks", drift_ks(flagged, numeric)), ("chi2", counted))
     rows = [
         df.select(
             "column",

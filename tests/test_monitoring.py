@@ -205,3 +205,11 @@ def test_rows_without_time_are_cut_in_two(spark):
     df = spark.createDataFrame(rows, "timestamp timestamp, user_id string, latency_ms double")
     parts = drift.reference_current_split(df, "timestamp", "user_id").groupBy("part").count()
     assert {r["part"]: r["count"] for r in parts.collect()} == {"reference": 50, "current": 50}
+
+
+@pytest.mark.parametrize("statistic, degrees, p", [(3.841, 1, 0.05), (5.991, 2, 0.05), (18.307, 10, 0.05), (1.386, 2, 0.5)])
+def test_chi_square_tail(spark, statistic, degrees, p):
+    from ranklight.functions.stats import chi_square_p
+
+    row = spark.range(1).select(chi_square_p(F.lit(statistic), F.lit(degrees)).alias("p")).first()
+    assert row["p"] == pytest.approx(p, abs=0.01)
