@@ -177,7 +177,7 @@ def find_leaks(
     width: int = 5,
     threshold: float = 0.8,
     radius: int = 20,
-    block_bytes: int = 16 << 20,
+    block_bytes: int = 2 << 20,
 ) -> DataFrame:
     """doc_id, item_id, similarity, first_word and n_windows of every item in every document.
 
@@ -234,7 +234,7 @@ def _leaks(
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """The documents, all columns, in which no benchmark item is found."""
-    options = {"width": 5, "threshold": 0.8, "radius": 20, "block_bytes": 16 << 20} | settings
+    options = {"width": 5, "threshold": 0.8, "radius": 20, "block_bytes": 2 << 20} | settings
     row = fresh(docs, "_row")
     keyed = docs.select(F.to_json(row_key()).alias(row), "text")
     leaking = _leaks(keyed, benchmark, row, **options).select(row).distinct()
