@@ -612,6 +612,8 @@ BODIES: dict[str, str] = {
     "training_job": """SELECT run, metric, true AS sound FROM (
           SELECT unnest(['model_a', 'model_b', 'model_b_minus_a']) AS run), wideset UNION ALL
         SELECT 'model_a', 'rmse', true UNION ALL
+        SELECT 'cold_start', unnest(['total_test_items', 'cold_start_items', 'warm_items',
+          'cold_start_interactions', 'warm_interactions', 'cold_start_ratio']), true UNION ALL
         SELECT 'pipeline', 'pipeline_' || metric, true FROM wideset UNION ALL
         SELECT 'model_c', unnest(['auc_roc', 'log_loss']), true""",
     "evaluate_two_stage": "SELECT 'pipeline' AS run_id, 'pipeline_' || metric AS metric, true AS sound FROM wideset",
