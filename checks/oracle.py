@@ -609,7 +609,7 @@ BODIES: dict[str, str] = {
         'rating_std_received', 'price', 'description_length']) AS feature, true AS sound""",
     "als_grid_search": """SELECT printf('als-%02d', n) AS run_id, metric, true AS sound, true AS best_wins
         FROM range(36) r(n), (SELECT metric FROM wideset UNION ALL SELECT 'rmse')""",
-    "training_job": """SELECT run, metric, true AS sound FROM (
+    "training_job": """SELECT run AS run_id, metric, true AS sound FROM (
           SELECT unnest(['model_a', 'model_b', 'model_b_minus_a']) AS run), wideset UNION ALL
         SELECT 'model_a', 'rmse', true UNION ALL
         SELECT 'cold_start', unnest(['total_test_items', 'cold_start_items', 'warm_items',
