@@ -26,7 +26,7 @@ from ranklight.llm.common import parts_for, pieces, texts_of
 from ranklight.session import settle
 
 END_ID = 1
-_KNOWN_WORDS = 1_000_000
+_KNOWN_WORDS = 600_000
 
 
 class _WordIds(dict):
