@@ -9,6 +9,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ranklight.session import scratch_path
+
 #: The white space of the contracts, and the letters that are lower-cased.
 SPACE = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -54,6 +56,19 @@ def text_bytes(docs: DataFrame, text: str = "text") -> tuple[int, int]:
     return int(found[0]), int(found[1])
 
 
+def bucketed(rows: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Write rows as a table bucketed by ``key`` in the shared folder, and read it.
+
+    What is later joined to the rows by that key is moved to them; the rows, which hold texts, are
+    not moved again. The table is external: only its files need to be removed later.
+    """
+    path = scratch_path(rows.sparkSession, name)
+    table_name = path.rsplit("/", 1)[-1].replace("-", "_")
+    writer = rows.write.format("parquet").bucketBy(buckets, key).option("compression", "zstd")
+    writer.option("path", path).saveAsTable(table_name)
+    return rows.sparkSession.table(table_name)
+
+
 def pieces(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of one piece stay below ``limit`` bytes, or are one text."""
     for batch in batches:

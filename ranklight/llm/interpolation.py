@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ranklight.llm.common import id_remainder, parts_for, pieces, texts_of
+from ranklight.llm.common import bucketed, id_remainder, parts_for, pieces, text_bytes, texts_of
 from ranklight.llm.text_stats import mix
 from ranklight.session import settle
 
@@ -308,7 +308,9 @@ def score_documents(
     # Ids travel as text: lists of numbers with nulls would become floating point on the way.
     own_id = F.col("doc_id").cast("string").alias("doc_id")
     rows = docs.select(own_id, "text", F.col(training).alias("training"), held.alias("held"))
-    chunks = settle(encode_chunks(rows, chunk_bytes), "chunks")
+    count, bytes_ = text_bytes(docs)
+    parts = parts_for(count + bytes_, chunk_bytes)
+    chunks = bucketed(encode_chunks(rows, chunk_bytes), "lm-chunks", "chunk", parts)
     sized = chunks.select(
         F.size("ids").alias("n"),
         F.aggregate("lengths", F.lit(0).cast("long"), lambda a, b: a + b).alias("tokens"),

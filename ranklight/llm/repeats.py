@@ -22,10 +22,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ranklight.llm.common import parts_for, pieces, text_bytes, texts_of
+from ranklight.llm.common import bucketed, parts_for, pieces, text_bytes, texts_of
 from ranklight.llm.interpolation import from_planes, planes
 from ranklight.llm.text_stats import mix
-from ranklight.session import scratch_path, settle
+from ranklight.session import settle
 
 WINDOW = 100
 PIECE = 50
@@ -126,21 +126,11 @@ def chunk_table(docs: DataFrame, chunk_bytes: int, chunks: int) -> DataFrame:
 
     if kind not in ("bigint", "int", "smallint", "tinyint"):
         raise TypeError(f"doc_id must be an integer, not {kind}")
-    spark = docs.sparkSession
-    path = scratch_path(spark, "repeat-chunks")
-    name = path.rsplit("/", 1)[-1].replace("-", "_")
     # Ids travel as text: lists of numbers with nulls would become floating point on the way.
     rows = docs.select(F.col("doc_id").cast("string"), "text").mapInArrow(
         gathered, "chunk long, ids array<string>, lengths array<long>, data binary"
     )
-    (
-        rows.write.bucketBy(chunks, "chunk")
-        .option("path", path)
-        .option("compression", "zstd")
-        .format("parquet")
-        .saveAsTable(name)
-    )
-    return spark.table(name)
+    return bucketed(rows, "repeat-chunks", "chunk", chunks)
 
 
 class Chunk:
