@@ -258,7 +258,7 @@ def test_two_stage_lists(planted, model, clicks, metadata, vectors):
     lists = _lists(serving.two_stage_top_n(model, clicks[0], train, near, users, items, 10, 30))
     assert len(lists) == 200
     _check_lists(lists, 10)
-    row = training.evaluate_two_stage(model, clicks[0], train, test, None, users, items, 40, [10]).first()
+    row = training.evaluate_two_stage(model, clicks[0], train, test, None, users, items, [10]).first()
     assert 0 <= row["pipeline_ndcg_at_10"] <= 1
 
 
