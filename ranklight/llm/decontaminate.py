@@ -94,7 +94,6 @@ class Item:
     weights: Counter
     values: np.ndarray
     size: int
-    needed: int
     fingerprint: int
 
 
@@ -107,10 +106,8 @@ class ItemIndex:
         for item_id, text in rows:
             hashes = shingles(words_of(text), known, width)
             if len(hashes):
-                # Shared / (2 size - shared) >= threshold for a window of the item's own size.
-                needed = ceil(2 * len(hashes) * threshold / (1 + threshold) - 1e-9)
                 weights, own = Counter(hashes.tolist()), fingerprint(hashes)
-                self.items.append(Item(item_id, weights, np.unique(hashes), len(hashes), needed, own))
+                self.items.append(Item(item_id, weights, np.unique(hashes), len(hashes), own))
         self.by_size = {
             size: (own, HammingBlocks([self.items[i].fingerprint for i in own], radius))
             for size, own in self._sizes().items()
@@ -129,11 +126,19 @@ class ItemIndex:
             sizes[item.size].append(number)
         return dict(sizes)
 
+    def needed(self, item: Item, words: int) -> int:
+        """Least number of shared shingles at which a window in a document of ``words`` shingles,
+        which is shorter than the item if the document is, reaches the threshold."""
+        window = min(item.size, words)
+        # Shared / (size + window - shared) >= threshold.
+        return ceil((item.size + window) * self.threshold / (1 + self.threshold) - 1e-9)
+
     def matches(self, hashes: np.ndarray) -> dict[int, tuple[float, int, int]]:
         """Per item: best similarity, its first shingle, and how many windows reach the threshold.
 
         A window can only reach the threshold with ``needed`` shingles of the item, so others are
-        passed over unread; this drops no window that the check would keep.
+        passed over unread; this drops no window that the check would keep, also where the window is a
+        whole document that is shorter than the item.
         """
         hit = np.flatnonzero(self.mark[(hashes >> np.uint64(44)).astype(np.int64)])
         if len(hit):
@@ -145,7 +150,8 @@ class ItemIndex:
         for value, count in Counter(hashes[hit].tolist()).items():
             for number in self.owners[value]:
                 seen[number] += count
-        spans = {(self.items[i].size, i) for i, n in seen.items() if n >= self.items[i].needed}
+        least = {i: self.needed(self.items[i], len(hashes)) for i in seen}
+        spans = {(self.items[i].size, i) for i, n in seen.items() if n >= least[i]}
         starts: dict[int, set[int]] = defaultdict(set)
         for size, i in spans:
             item = self.items[i]
@@ -154,7 +160,7 @@ class ItemIndex:
             inside[hit[np.isin(hashes[hit], item.values)] + 1] = 1
             total = np.cumsum(inside)
             count = total[np.minimum(np.arange(last) + size, len(hashes))] - total[:last]
-            starts[size].update(np.flatnonzero(count >= item.needed).tolist())
+            starts[size].update(np.flatnonzero(count >= least[i]).tolist())
         best: dict[int, tuple[float, int, int]] = {}
         for size, places in starts.items():
             own, index = self.by_size[size]
