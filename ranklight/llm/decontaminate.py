@@ -103,8 +103,13 @@ class ItemIndex:
     def __init__(self, rows: list[tuple[object, bytes]], width: int, threshold: float, radius: int):
         known = _WordHashes()
         self.width, self.threshold, self.items = width, threshold, []
+        # Items of fewer words than a shingle, by their number of words and their hash.
+        self.short: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
         for item_id, text in rows:
-            hashes = shingles(words_of(text), known, width)
+            words = words_of(text)
+            hashes = shingles(words, known, width)
+            if 0 < len(words) < width:
+                self.short[len(words)][int(hashes[0])].append(len(self.items))
             if len(hashes):
                 weights, own = Counter(hashes.tolist()), fingerprint(hashes)
                 self.items.append(Item(item_id, weights, np.unique(hashes), len(hashes), own))
@@ -112,9 +117,11 @@ class ItemIndex:
             size: (own, HammingBlocks([self.items[i].fingerprint for i in own], radius))
             for size, own in self._sizes().items()
         }
+        self.short = {count: dict(held) for count, held in self.short.items()}
+        brief = {i for held in self.short.values() for own in held.values() for i in own}
         self.owners: dict[int, list[int]] = defaultdict(list)
         for number, item in enumerate(self.items):
-            for value in item.values.tolist():
+            for value in item.values.tolist() if number not in brief else ():
                 self.owners[value].append(number)
         self.values = np.array(sorted(self.owners), np.uint64)
         self.mark = np.zeros(1 << 20, bool)
@@ -133,6 +140,19 @@ class ItemIndex:
         # Shared / (size + window - shared) >= threshold.
         return ceil((item.size + window) * self.threshold / (1 + self.threshold) - 1e-9)
 
+    def short_matches(self, words: list[bytes], known: _WordHashes) -> dict[int, tuple[float, int, int]]:
+        """As ``matches``, for the items of fewer words than a shingle: their words stand in a row."""
+        found: dict[int, tuple[float, int, int]] = {}
+        for count, held in self.short.items():
+            if len(words) < count:
+                continue
+            hashes = shingles(words, known, count)
+            for place in np.flatnonzero(np.isin(hashes, np.fromiter(held, np.uint64, len(held)))).tolist():
+                for i in held[int(hashes[place])]:
+                    _, first, windows = found.get(i, (1.0, place, 0))
+                    found[i] = (1.0, first, windows + 1)
+        return found
+
     def matches(self, hashes: np.ndarray) -> dict[int, tuple[float, int, int]]:
         """Per item: best similarity, its first shingle, and how many windows reach the threshold.
 
@@ -141,7 +161,7 @@ class ItemIndex:
         whole document that is shorter than the item.
         """
         hit = np.flatnonzero(self.mark[(hashes >> np.uint64(44)).astype(np.int64)])
-        if len(hit):
+        if len(hit) and len(self.values):
             place = np.searchsorted(self.values, hashes[hit])
             hit = hit[self.values[np.minimum(place, len(self.values) - 1)] == hashes[hit]]
         if not len(hit):
@@ -188,10 +208,10 @@ def find_leaks(
     """doc_id, item_id, similarity, first_word and n_windows of every item in every document.
 
     One row for a document row and an item with a window of at least ``threshold``. Texts are
-    taken whole; null and empty texts and items without words match nothing; repeated
-    documents and items each give their own rows. Only a block of the benchmark of
-    about ``block_bytes`` of text is sent to the tasks at a time; a larger benchmark takes
-    several passes.
+    taken whole; null and empty texts and items without words match nothing; an item of fewer than
+    ``width`` words matches wherever just these words stand in a row; repeated documents and items
+    each give their own rows. Only a block of the benchmark of about ``block_bytes`` of text is sent
+    to the tasks at a time; a larger benchmark takes several passes.
     """
     return _leaks(docs.select("doc_id", "text"), benchmark, "doc_id", width, threshold, radius, block_bytes)
 
@@ -222,7 +242,9 @@ def _leaks(
             for batch in pieces(batches, "text", 8 << 20):
                 source, found = [], []
                 for i, text in enumerate(texts_of(batch.column("text"))):
-                    for k, value in items.matches(shingles(words_of(text), known, width)).items():
+                    words = words_of(text)
+                    own = items.matches(shingles(words, known, width))
+                    for k, value in (own | items.short_matches(words, known)).items():
                         source.append(i)
                         found.append((items.items[k].item_id, *value))
                 columns = list(zip(*found)) or [(), (), (), ()]
