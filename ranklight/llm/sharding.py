@@ -140,20 +140,15 @@ def write_shards(sharded: DataFrame, path: str, records_per_file: int = 1_000_00
 def shard_digest(docs: DataFrame, shards: int = 8, **shuffle) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document.
 
-    Only these small values are moved. Law ``rows``: counts differ by one at most.
-    A null text has size 1 and checksum 0; null and repeated ids are rows like others.
+    Read off the records that ``shard_documents`` places, so the texts go through the buckets. Law
+    ``rows``: counts differ by one at most. A null text has size 1 and checksum 0; null and
+    repeated ids are rows like others.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    digest = docs.select(
+    return shard_documents(docs, shards, **shuffle).select(
         "doc_id",
         (F.octet_length(text).cast("long") + 1).alias("size"),
         F.crc32(text).alias("text_crc32"),
-    )
-    placed = shard_rows(digest, F.lit(24), shards, **shuffle)
-    return placed.select(
-        "record.doc_id",
-        "record.size",
-        "record.text_crc32",
         F.lit("rows").alias("law"),
         "shard",
         "slot",
