@@ -28,6 +28,9 @@ _ROW_WORK = 300.0
 _SMALL_RUN = 8
 _MATRIX_RUN = 768
 _HEAVY_RUN = 8192
+#: How finely the gain of a part is counted, and how many parts there may be.
+_UNITS = 2_000
+_MOST_PARTS = 2_000
 
 
 def _unpacked(values: np.ndarray) -> np.ndarray:
@@ -109,17 +112,30 @@ def _costs(n: int, differ: np.ndarray, bits: list[int], most: int) -> list[float
 
 def allocate(costs: list[list[float]], gains: list[list[int]], needed: int) -> tuple[float, list[int]]:
     """Thresholds whose gains reach ``needed`` at least cost; -1 costs and gains nothing."""
-    best: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
+    best = np.full(needed + 1, np.inf)
+    best[0] = 0.0
+    steps = []
     for own, gain in zip(costs, gains):
-        following: dict[int, tuple[float, list[int]]] = {}
-        for used, (cost, chosen) in best.items():
-            for t in range(-1, len(own)):
-                total = min(needed, used + (gain[t] if t >= 0 else 0))
-                value = cost + (own[t] if t >= 0 else 0.0)
-                if total not in following or value < following[total][0]:
-                    following[total] = (value, [*chosen, t])
+        following, chosen, source = best.copy(), np.full(needed + 1, -1), np.arange(needed + 1)
+        for t, (cost, step) in enumerate(zip(own, gain)):
+            step = min(step, needed)
+            value = np.full(needed + 1, np.inf)
+            value[step:] = best[: needed + 1 - step] + cost
+            where = np.arange(needed + 1) - step
+            # What is beyond the need counts as the need.
+            where[needed] = needed - step + int(np.argmin(best[needed - step :]))
+            value[needed] = best[where[needed]] + cost
+            better = value < following
+            following[better], chosen[better], source[better] = value[better], t, where[better]
         best = following
-    return best.get(needed, (float("inf"), []))
+        steps.append((chosen, source))
+    if not np.isfinite(best[needed]):
+        return float("inf"), []
+    at, out = needed, []
+    for chosen, source in reversed(steps):
+        out.append(int(chosen[at]))
+        at = int(source[at])
+    return float(best[needed]), out[::-1]
 
 
 def sure_parts(n: int, both: np.ndarray, radius: int, most: int = 2) -> Parts:
@@ -136,27 +152,54 @@ def sure_parts(n: int, both: np.ndarray, radius: int, most: int = 2) -> Parts:
     return min(choices, key=lambda c: c[0])[1]
 
 
+def meeting_chance(parts: Parts, bits: int, differing: int, trials: int = 10_000) -> float:
+    """The chance that two fingerprints of ``bits`` bits, ``differing`` of which differ, meet in
+    some part; drawn, as parts that share bits do not find pairs independently."""
+    draw = np.random.default_rng(7)
+    member = np.zeros((bits, len(parts)), np.float32)
+    for k, (own, _) in enumerate(parts):
+        member[own, k] = 1.0
+    thresholds = np.array([t for _, t in parts], np.float32)
+    met = 0
+    for _ in range(trials // 1000):
+        order = draw.random((1000, bits)).argpartition(differing - 1, axis=1)[:, :differing]
+        flipped = np.zeros((1000, bits), np.float32)
+        np.put_along_axis(flipped, order, 1.0, axis=1)
+        met += int(((flipped @ member) <= thresholds).any(1).sum())
+    return met / (trials // 1000 * 1000)
+
+
 def likely_parts(n: int, both: np.ndarray, share: float, recall: float = 0.999, most: int = 1) -> Parts:
-    """Parts and thresholds that find a pair whose bits differ with chance ``share`` with
-    chance ``recall``, for the least work; several dealings of the bits give parts enough."""
+    """Parts and thresholds that find a pair with a ``share`` of differing bits with chance
+    ``recall``, for the least work; several dealings of the bits give parts enough.
+
+    Parts that share bits find less than independent ones would; what is asked of the program is raised
+    until the drawn chance is ``recall``.
+    """
+    differing = max(1, ceil(share * len(both) - 1e-9))
     p = np.diag(both) / max(n, 1)
     differ = 2 * p * (1 - p)
-    unit = -log(1 - recall) / 200
-    choices = []
+    unit = -log(1 - recall) / _UNITS
+    choices: list[tuple[float, Parts]] = []
     for width in range(8, 33, 2):
         found = _within(np.full(width, share), most)
-        enough = ceil(-log(1 - recall) / -log(1 - found[0])) + 2
-        if enough > 400:
+        enough = ceil(-log(1 - recall) / -log(1 - found[0]) * 2) + 2
+        if enough > _MOST_PARTS:
             break
         dealt: list[list[int]] = []
         while len(dealt) < enough:
             order = None if not dealt else np.random.default_rng(len(dealt)).permutation(len(p))
             dealt += [b for b in correlated_parts(n, both, len(p) // width, order)]
-        dealt = dealt[:enough]
         costs = [_costs(n, differ, bits, most) for bits in dealt]
         gains = [[int(-log(1 - f) / unit) for f in _within(np.full(len(b), share), most)] for b in dealt]
-        cost, thresholds = allocate(costs, gains, 200 - enough // 2)
-        choices.append((cost, [(b, t) for b, t in zip(dealt, thresholds) if t >= 0]))
+        for raised in (1.0, 1.1, 1.2, 1.35, 1.5, 1.75, 2.0):
+            cost, thresholds = allocate(costs, gains, int(_UNITS * raised))
+            if choices and cost >= min(choices, key=lambda c: c[0])[0]:
+                break
+            parts = [(b, t) for b, t in zip(dealt, thresholds) if t >= 0]
+            if parts and meeting_chance(parts, len(p), differing) >= recall:
+                choices.append((cost, parts))
+                break
     return min(choices, key=lambda c: c[0])[1]
 
 

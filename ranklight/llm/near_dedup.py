@@ -131,7 +131,8 @@ def keep_one_per_group(
     narrow = docs.select("doc_id", "text", row_key().alias("_row"))
     found = fingerprints(narrow, width, words, ("doc_id", "_row"))
     found = settle(found.withColumn("node", F.xxhash64(*columns)), "fingerprints")
-    components = fingerprint_components(found, words, radius, share).withColumnRenamed("node", "place")
+    # Parts are sized for the pairs that differ most, those at the radius.
+    components = fingerprint_components(found, words, radius, radius / bits).withColumnRenamed("node", "place")
     placed = found.join(components, F.col("node") == F.col("place"))
     # One row for each component by a partial minimum; a large group is never gathered.
     kept = placed.groupBy("root").agg(
