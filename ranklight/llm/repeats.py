@@ -5,7 +5,9 @@ least hash. Equal windows have the same anchor at the same place, so windows nee
 recur. Copies with one context around an anchor are settled by counting. Different contexts of one anchor
 are lined up at it and built into a Burrows-Wheeler order column by column, from the last
 to the first: each round puts one symbol in front of every context, moves the order and
-the common prefixes on, and reads off which windows are the same.
+the common prefixes on, and reads off which windows are the same. An anchor with very many contexts is
+never gathered: its windows are dealt out by their own hashes, and the earliest of equal ones is found
+among them.
 """
 
 from __future__ import annotations
@@ -155,9 +157,44 @@ class Chunk:
         document = np.searchsorted(self.ends, self.found["at"][self.first], side="right")
         self.first_id = self.ids[document] if len(document) else np.zeros(0, np.int64)
 
-    def cuts(self, buckets: int) -> np.ndarray:
-        edges = [(b << _HASH_BITS) // buckets for b in range(1, buckets)]
-        return np.r_[0, np.searchsorted(self.piece, np.array(edges, np.uint64)), len(self.piece)]
+    def cuts(self, edges: list[tuple[int, int]]) -> np.ndarray:
+        """Where the buckets between ``edges``, pairs themselves, start and end."""
+        wanted = np.array([p for p, _ in edges], np.uint64)
+        found = np.searchsorted(self.piece, wanted)
+        for k, (_, context) in enumerate(edges):
+            if context:
+                last = np.searchsorted(self.piece, wanted[k], side="right")
+                found[k] += np.searchsorted(self.context[found[k] : last], np.uint64(context))
+        return np.r_[0, found, len(self.piece)]
+
+
+def _crowded(chunks: DataFrame, most: int) -> list[tuple[int, int]]:
+    """Pieces with very many contexts, and about how many; all others have at most twice ``most``.
+
+    A chunk that has few of them keeps silent; ``most`` also bounds how many pieces come back.
+    """
+    least = max(2, most // max(1, chunks.count()))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                own = Chunk(row["ids"], row["lengths"], row["data"])
+                found, count = np.unique(own.piece, return_counts=True)
+                many = count >= least
+                columns = [pa.array(x[many].astype(np.int64)) for x in (found, count)]
+                yield pa.RecordBatch.from_arrays(columns, ["piece", "n"])
+
+    summed = chunks.mapInArrow(counted, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+    return sorted((r["piece"], r["n"]) for r in summed.filter(F.col("n") > most).collect())
+
+
+def _edges(buckets: int, crowded: list[tuple[int, int]], most: int) -> list[tuple[int, int]]:
+    """The pairs at which the buckets start; a crowded piece has buckets of its own, by context."""
+    edges = {((b << _HASH_BITS) // buckets, 0) for b in range(1, buckets)}
+    for piece, count in crowded:
+        parts = parts_for(count, most)
+        edges |= {(piece, (k << _CONTEXT_BITS) // parts) for k in range(parts)} | {(piece + 1, 0)}
+    return sorted(edges)
 
 
 def _id(value: str | None) -> int:
@@ -174,15 +211,15 @@ def _from_numbers(blob: bytes) -> np.ndarray:
     return from_planes(blob[8:]).view(np.int64) + int.from_bytes(blob[:8], "little", signed=True)
 
 
-def _questions(chunks: DataFrame, buckets: int) -> DataFrame:
+def _questions(chunks: DataFrame, edges: list[tuple[int, int]]) -> DataFrame:
     names = ["bucket", "chunk", "piece", "context", "first_id"]
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 own = Chunk(row["ids"], row["lengths"], row["data"])
-                cuts = own.cuts(buckets)
-                parts = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
+                cuts = own.cuts(edges)
+                parts = [b for b in range(len(edges) + 1) if cuts[b] < cuts[b + 1]]
                 blobs = [
                     (
                         planes(np.diff(own.piece[a:b], prepend=np.uint64(0))),
@@ -200,28 +237,32 @@ def _questions(chunks: DataFrame, buckets: int) -> DataFrame:
     )
 
 
-def _answered(key, own: pd.DataFrame) -> pd.DataFrame:
-    """To every chunk, per pair it asked for: 1 if it has the first of all, plus 2 if the
-    piece has other contexts too."""
-    own = own.sort_values("chunk")
-    pieces_ = [np.cumsum(from_planes(b), dtype=np.uint64) for b in own["piece"]]
-    lengths = [len(p) for p in pieces_]
-    piece = np.concatenate(pieces_)
-    context = np.concatenate([from_planes(b) for b in own["context"]])
-    first_id = np.concatenate([_from_numbers(b) for b in own["first_id"]])
-    # The sort is stable, so of equal ids the chunk with the smaller number is first.
-    order = np.lexsort((first_id, context, piece))
-    piece, context = piece[order], context[order]
-    new_piece = np.r_[True, piece[1:] != piece[:-1]]
-    new = new_piece | np.r_[True, context[1:] != context[:-1]]
-    starts = np.flatnonzero(new_piece)
-    distinct = np.add.reduceat(new.astype(np.int64), starts)
-    several = np.repeat(distinct > 1, np.diff(np.r_[starts, len(piece)]))
-    flags = np.empty(len(order), np.uint8)
-    flags[order] = new + 2 * several
-    ends = np.cumsum(lengths)
-    blobs = [zlib.compress(flags[e - n : e].tobytes(), 1) for e, n in zip(ends, lengths)]
-    return pd.DataFrame({"bucket": key[0], "chunk": own["chunk"].to_numpy(), "flags": blobs})
+def _answering(crowded: np.ndarray):
+    def answered(key, own: pd.DataFrame) -> pd.DataFrame:
+        """To every chunk, per pair it asked for: 1 if it has the first of all, plus 2 if the
+        piece has other contexts too."""
+        own = own.sort_values("chunk")
+        pieces_ = [np.cumsum(from_planes(b), dtype=np.uint64) for b in own["piece"]]
+        lengths = [len(p) for p in pieces_]
+        piece = np.concatenate(pieces_)
+        context = np.concatenate([from_planes(b) for b in own["context"]])
+        first_id = np.concatenate([_from_numbers(b) for b in own["first_id"]])
+        # The sort is stable, so of equal ids the chunk with the smaller number is first.
+        order = np.lexsort((first_id, context, piece))
+        piece, context = piece[order], context[order]
+        new_piece = np.r_[True, piece[1:] != piece[:-1]]
+        new = new_piece | np.r_[True, context[1:] != context[:-1]]
+        starts = np.flatnonzero(new_piece)
+        distinct = np.add.reduceat(new.astype(np.int64), starts)
+        several = np.repeat(distinct > 1, np.diff(np.r_[starts, len(piece)]))
+        several |= np.isin(piece, crowded)  # whose other contexts may be in other buckets
+        flags = np.empty(len(order), np.uint8)
+        flags[order] = new + 2 * several
+        ends = np.cumsum(lengths)
+        blobs = [zlib.compress(flags[e - n : e].tobytes(), 1) for e, n in zip(ends, lengths)]
+        return pd.DataFrame({"bucket": key[0], "chunk": own["chunk"].to_numpy(), "flags": blobs})
+
+    return answered
 
 
 def _flags(rows: pd.DataFrame) -> np.ndarray:
@@ -229,13 +270,14 @@ def _flags(rows: pd.DataFrame) -> np.ndarray:
     return np.frombuffer(b"".join(blobs), np.uint8)
 
 
-def _context_sender(buckets: int):
+def _context_sender(edges: list[tuple[int, int]], crowded: np.ndarray):
     def sent(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         """The contexts that must be compared, each from the chunk that has it first."""
         row = left.iloc[0]
         own = Chunk(row["ids"], row["lengths"], row["data"])
-        open_pairs = np.flatnonzero(_flags(right) == 3) if len(right) else np.zeros(0, np.int64)
-        cuts, out = own.cuts(buckets), []
+        flags = _flags(right) if len(right) else np.zeros(0, np.uint8)
+        open_pairs = np.flatnonzero((flags == 3) & ~np.isin(own.piece, crowded)[: len(flags)])
+        cuts, out = own.cuts(edges), []
         for bucket, (a, b) in enumerate(zip(cuts, cuts[1:])):
             pairs = open_pairs[(open_pairs >= a) & (open_pairs < b)]
             if not len(pairs):
@@ -332,15 +374,74 @@ def _compared(key, own: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"bucket": key[0], "chunk": own["chunk"].to_numpy(), "flags": blobs})
 
 
-def _removed(own: Chunk, flags: np.ndarray, masks: np.ndarray) -> np.ndarray:
-    """Which bytes of a chunk go."""
+def _crowded_windows(own: Chunk, flags: np.ndarray, crowded: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of the contexts of crowded pieces: the distinct windows' hashes, sorted, where each starts
+    first, and where the others of the chunk start."""
+    pairs = np.flatnonzero((flags == 3) & np.isin(own.piece, crowded)[: len(flags)])
+    at, low, high = (own.found[c][own.first[pairs]] for c in ("at", "low", "high"))
+    n = high - low + 1
+    start = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+    rolled = np.zeros(len(start), np.uint64)
+    for k in range(WINDOW):
+        rolled = rolled * np.uint64(_FACTOR) + own.data[start + k] + np.uint64(1)
+    place = (np.repeat(at, n) - start).astype(np.uint64)
+    value = mix(mix(rolled) ^ mix(np.repeat(own.piece[pairs], n) * np.uint64(64) + place))
+    order = np.lexsort((start, value))
+    value, start = value[order], start[order]
+    new = np.r_[True, value[1:] != value[:-1]][: len(value)]
+    return value[new], start[new], start[~new]
+
+
+def _window_sender(buckets: int, crowded: np.ndarray):
+    edges = np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)
+
+    def sent(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        """The windows of crowded pieces, once for each chunk."""
+        row = left.iloc[0]
+        own = Chunk(row["ids"], row["lengths"], row["data"])
+        flags = _flags(right) if len(right) else np.zeros(0, np.uint8)
+        value, start, _ = _crowded_windows(own, flags, crowded)
+        first_id = own.ids[np.searchsorted(own.ends, start, side="right")]
+        cuts = np.r_[0, np.searchsorted(value, edges), len(value)]
+        out = [
+            (b, key[0], planes(np.diff(value[x:y], prepend=np.uint64(0))), _numbers(first_id[x:y]))
+            for b, (x, y) in enumerate(zip(cuts, cuts[1:]))
+            if x < y
+        ]
+        return pd.DataFrame(out, columns=["bucket", "chunk", "value", "first_id"])
+
+    return sent
+
+
+def _windows_answered(key, own: pd.DataFrame) -> pd.DataFrame:
+    """To every chunk, per window it sent: 1 if an earlier chunk or document has it."""
+    own = own.sort_values("chunk")
+    values = [np.cumsum(from_planes(b), dtype=np.uint64) for b in own["value"]]
+    value, first_id = np.concatenate(values), np.concatenate([_from_numbers(b) for b in own["first_id"]])
+    order = np.lexsort((first_id, value))  # stable, as above
+    flags = np.empty(len(order), np.uint8)
+    flags[order] = np.r_[False, value[order][1:] == value[order][:-1]]
+    ends = np.cumsum([len(v) for v in values])
+    blobs = [zlib.compress(flags[e - len(v) : e].tobytes(), 1) for e, v in zip(ends, values)]
+    return pd.DataFrame({"bucket": key[0], "chunk": own["chunk"].to_numpy(), "flags": blobs})
+
+
+def _removed(
+    own: Chunk, flags: np.ndarray, masks: np.ndarray, crowded: np.ndarray, repeated: np.ndarray
+) -> np.ndarray:
+    """Which bytes of a chunk go; ``repeated`` tells it of the windows of crowded pieces."""
     covered = np.zeros(len(own.data) + 1, np.int32)
     low, high, at = (own.found[c] for c in ("low", "high", "at"))
     is_first = np.zeros(len(at), bool)
     is_first[own.first[(flags & 1) == 1]] = True
     np.add.at(covered, low[~is_first], 1)
     np.add.at(covered, high[~is_first] + WINDOW, -1)
-    open_pairs = np.flatnonzero(flags == 3)
+    open_pairs = np.flatnonzero((flags == 3) & ~np.isin(own.piece, crowded)[: len(flags)])
+    if len(crowded):
+        _, start, others = _crowded_windows(own, flags, crowded)
+        gone = np.r_[start[repeated == 1], others]
+        np.add.at(covered, gone, 1)
+        np.add.at(covered, gone + WINDOW, -1)
     for k in range(_SPAN + 1):
         hit = own.first[open_pairs[(masks >> np.uint64(k)) & np.uint64(1) == 1]]
         np.add.at(covered, at[hit] - k, 1)
@@ -348,13 +449,14 @@ def _removed(own: Chunk, flags: np.ndarray, masks: np.ndarray) -> np.ndarray:
     return np.cumsum(covered[:-1]) > 0
 
 
-def _finished(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+def _finished(key, left: pd.DataFrame, right: pd.DataFrame, crowded: np.ndarray) -> pd.DataFrame:
     row = left.iloc[0]
     own = Chunk(row["ids"], row["lengths"], row["data"])
     flags = _flags(right[right["kind"] == 0]) if len(right) else np.zeros(0, np.uint8)
     blobs = right[right["kind"] == 1].sort_values("bucket")["flags"]
     masks = np.concatenate([np.zeros(0, np.uint64), *[from_planes(b) for b in blobs]])
-    gone = _removed(own, flags, masks)
+    repeated = _flags(right[right["kind"] == 2])
+    gone = _removed(own, flags, masks, crowded, repeated)
     rises = gone.copy()
     rises[1:] &= ~gone[:-1]
     inner = own.starts[own.lengths > 0]
@@ -366,39 +468,63 @@ def _finished(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
-def _digested(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    found = _finished(key, left, right)
-    found["kept_sha256"] = [hashlib.sha256(b).hexdigest() for b in found["kept"]]
-    return found.drop(columns="kept")
+def _finisher(crowded: np.ndarray, digest: bool):
+    def finished(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        found = _finished(key, left, right, crowded)
+        if not digest:
+            return found
+        found["kept_sha256"] = [hashlib.sha256(b).hexdigest() for b in found["kept"]]
+        return found.drop(columns="kept")
 
+    return finished
 
-def remove_repeats(docs: DataFrame, chunk_bytes: int = 4 << 20, digest: bool = False) -> DataFrame:
+
+def remove_repeats(
+    docs: DataFrame, chunk_bytes: int = 4 << 20, digest: bool = False, most_contexts: int = 200_000
+) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the bytes left, ``kept`` (or their SHA-256).
 
     A byte goes if a string of 100 bytes over it also starts earlier, in a document of smaller
     id or earlier in the same one; null ids come first, rows with one id in a fixed order. Null texts are
     empty; texts below 100 bytes stay whole; removal may cut a character.
+    At most about twice ``most_contexts`` contexts of one anchor meet in a task.
     """
     rows, size = text_bytes(docs)
     chunks = chunk_table(docs, chunk_bytes, parts_for(size + rows, chunk_bytes))
-    buckets = parts_for(size // 20, 400_000)
+    many = _crowded(chunks, most_contexts)
+    crowded = np.array([piece for piece, _ in many], np.uint64)
+    edges = _edges(parts_for(size // 20, 400_000), many, most_contexts)
     answers = settle(
-        _questions(chunks, buckets)
+        _questions(chunks, edges)
         .groupBy("bucket")
-        .applyInPandas(_answered, "bucket int, chunk long, flags binary"),
+        .applyInPandas(_answering(crowded), "bucket int, chunk long, flags binary"),
         "repeat-answers",
     )
     contexts = (
         chunks.groupBy("chunk")
         .cogroup(answers.groupBy("chunk"))
-        .applyInPandas(_context_sender(buckets), _CONTEXTS)
+        .applyInPandas(_context_sender(edges, crowded), _CONTEXTS)
     )
     masks = contexts.groupBy("bucket").applyInPandas(_compared, "bucket int, chunk long, flags binary")
     sent = answers.withColumn("kind", F.lit(0)).unionByName(masks.withColumn("kind", F.lit(1)))
-    last, function = ("kept_sha256 string", _digested) if digest else ("kept binary", _finished)
+    if many:
+        # A context has at most _SPAN + 1 windows.
+        parts = parts_for(sum(n for _, n in many) * (_SPAN + 1), 2_000_000)
+        windows = (
+            chunks.groupBy("chunk")
+            .cogroup(answers.groupBy("chunk"))
+            .applyInPandas(
+                _window_sender(parts, crowded), "bucket int, chunk long, value binary, first_id binary"
+            )
+        )
+        told = windows.groupBy("bucket").applyInPandas(
+            _windows_answered, "bucket int, chunk long, flags binary"
+        )
+        sent = sent.unionByName(told.withColumn("kind", F.lit(2)))
+    last = "kept_sha256 string" if digest else "kept binary"
     return (
         chunks.groupBy("chunk")
         .cogroup(sent.groupBy("chunk"))
-        .applyInPandas(function, f"doc_id string, n_bytes long, n_removed long, n_spans long, {last}")
+        .applyInPandas(_finisher(crowded, digest), f"doc_id string, n_bytes long, n_removed long, n_spans long, {last}")
         .withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
     )
