@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ranklight.llm import (
     decontaminate,
+    histogram_packing,
     interpolation,
     isolation,
     line_dedup,
@@ -17,6 +18,8 @@ from ranklight.llm import (
     repeats,
     sharding,
     toxicity,
+    vector_codes,
+    whitening,
 )
 from ranklight.llm.common import table
 from ranklight.session import own_scratch, tune
@@ -67,6 +70,22 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return isolation.rules_digest(docs, labels)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight codes of four bits for each vector, by codebooks of six rounds."""
+    return vector_codes.code_digest(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6)
+
+
+def op12_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens, by combinations of at most three lengths."""
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return histogram_packing.packing_digest(table(spark, sf_dir, "documents"), vocabulary, 2048)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors on the 32 leading components, each with unit variance."""
+    return whitening.whitening_digest(table(spark, sf_dir, "embeddings"), components=32)
+
+
 def _with_folder(function):
     """Run in the session as it is, with the joins' settings and, where unset, a folder of its own."""
     return lambda spark, sf_dir: function(own_scratch(tune(spark)), sf_dir)
@@ -85,7 +104,10 @@ QUERIES = {
         op8_suffix_array_dedup,
         op9_line_dedup,
         op10_quality_rules,
+        op11_vector_codes,
+        op12_histogram_packing,
+        op13_whitening,
     )
 }
 QUERIES["pipeline"] = _with_folder(corpus_pipeline.run)
-ORACLES = {"op9_line_dedup": line_dedup.SQL}
+ORACLES = {"op9_line_dedup": line_dedup.SQL, "op11_vector_codes": vector_codes.SQL}
