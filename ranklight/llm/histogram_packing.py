@@ -8,6 +8,7 @@ a sequence has room left, so that no sequence is padded.
 
 from __future__ import annotations
 
+import math
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -262,7 +263,9 @@ def place_tokens(rows: DataFrame, window: int = 2048, block_rows: int = 4000, ro
         histogram[r["length"]] = r["n"]
     plan = items.sparkSession.sparkContext.broadcast(plan_for(histogram, rounds))
 
-    bucket = F.pmod(F.xxhash64("_row", "start"), F.lit(parts_for(histogram.sum(), 20_000)))
+    # As many buckets as a bucket has rows: neither the buckets of a length nor the rows of one are many.
+    buckets = max(1, math.isqrt(int(histogram.sum())))
+    bucket = F.pmod(F.xxhash64("_row", "start"), F.lit(buckets))
     ranked = row_numbers(items, ["length"], bucket, ["_row", "start"], "rank")
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
