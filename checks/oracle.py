@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-# Views shared by the statements; one that a statement does not use costs nothing.
+import re
+
+# Views shared by the statements; a statement carries those that it needs.
 VIEWS = r"""
 WITH inter AS (
   SELECT o_custkey AS user_id, l_partkey AS item_id,
@@ -339,9 +341,11 @@ _LISTS = """
   HAVING count(*) < (SELECT count(DISTINCT item_id) FROM train)"""
 
 
-def _known(pairs: str) -> str:
-    return f"""(SELECT user_id, item_id, user_id IN (SELECT user_id FROM train)
-      AND item_id IN (SELECT item_id FROM train) AS known FROM {pairs})"""
+# Test pairs beside what the training part knows, from one scan of the split.
+_KNOWN_TEST = """(SELECT user_id, item_id, known_user, known_item, mean FROM (
+      SELECT user_id, item_id, split, bool_or(split = 'train') OVER (PARTITION BY user_id) AS known_user,
+        bool_or(split = 'train') OVER (PARTITION BY item_id) AS known_item,
+        avg(rating) FILTER (split = 'train') OVER () AS mean FROM split) WHERE split = 'test')"""
 
 
 _COLD = """
@@ -512,12 +516,11 @@ BODIES: dict[str, str] = {
         FROM (SELECT DISTINCT user_id FROM train)""",
     "confidence_matrix": """SELECT user_id, item_id, round(sum(rating) * 40, 6) AS confidence
         FROM inter GROUP BY user_id, item_id""",
-    "score_feature_semantic": """SELECT t.user_id, t.item_id, round(coalesce(s.score, 0), 6) AS model_b_score
-        FROM test t LEFT JOIN (
-          SELECT l.user_id, n.neighbour_id AS item_id, avg(n.similarity) AS score
-          FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY timestamp, item_id) AS rn
-            FROM liked) l JOIN nearest n ON n.item_id = l.item_id
-          GROUP BY ALL) s USING (user_id, item_id)""",
+    "score_feature_semantic": """SELECT user_id, item_id, round(coalesce(max(score), 0), 6) AS model_b_score FROM (
+          SELECT user_id, item_id, NULL::DOUBLE AS score, 1 AS asked FROM split WHERE split = 'test' UNION ALL
+          SELECT l.user_id, n.neighbour_id, avg(n.similarity), 0
+          FROM liked l JOIN nearest n ON n.item_id = l.item_id GROUP BY l.user_id, n.neighbour_id)
+        GROUP BY user_id, item_id HAVING max(asked) = 1""",
     "negative_samples": "SELECT user_id, positive_id, slot, item_id FROM negatives",
     "sample_users": """SELECT user_id FROM (SELECT DISTINCT user_id FROM train)
         ORDER BY md5(concat_ws('|', user_id, 42)), user_id LIMIT 100""",
@@ -545,8 +548,7 @@ BODIES: dict[str, str] = {
         FROM nearest WHERE item_id IN (SELECT item_id FROM liked)""",
     "semantic_top_n": """SELECT user_id, item_id, round(score, 6) AS score, rank
         FROM semantic WHERE rank <= 10""",
-    "item_neighbours_lsh": """SELECT count(*) > 1 AS few_pairs, count(*) > 1 AS twice_chance
-        FROM vectors""",
+    "item_neighbours_lsh": """SELECT count(*) > 1 AS few_pairs, count(*) > 1 AS found FROM vectors""",
     "restrict_to_train_items": """SELECT item_id, title FROM meta WHERE item_id IN (
         SELECT item_id FROM train WHERE rating >= 5 GROUP BY item_id HAVING count(*) >= 5)""",
     "candidate_union": f"SELECT user_id, item_id, round(score, 6) AS score FROM {_CANDIDATES}",
@@ -568,12 +570,13 @@ BODIES: dict[str, str] = {
     "als_fit": """SELECT 'user' AS kind, user_id AS id, 100 AS rank, true AS sound
         FROM (SELECT DISTINCT user_id FROM train) UNION ALL
         SELECT 'item', item_id, 100, true FROM (SELECT DISTINCT item_id FROM train)""",
-    "als_score_pairs": f"""SELECT user_id, item_id, known,
-        CASE WHEN NOT known THEN round((SELECT avg(rating) FROM train), 6) END AS mean, true AS fits
-        FROM {_known("(SELECT user_id, CASE WHEN item_id % 2 = 0 THEN -item_id - 1 ELSE item_id END AS item_id FROM test)")}""",
-    "score_feature_als": f"""SELECT user_id, item_id, known,
-        CASE WHEN NOT known THEN round((SELECT avg(rating) FROM train), 6) END AS mean, true AS fits
-        FROM {_known("test")}""",
+    "als_score_pairs": f"""SELECT user_id, CASE WHEN item_id % 2 = 0 THEN -item_id - 1 ELSE item_id END AS item_id,
+        known_user AND known_item AND item_id % 2 <> 0 AS known,
+        CASE WHEN NOT (known_user AND known_item AND item_id % 2 <> 0) THEN round(mean, 6) END AS mean,
+        true AS fits FROM {_KNOWN_TEST}""",
+    "score_feature_als": f"""SELECT user_id, item_id, known_user AND known_item AS known,
+        CASE WHEN NOT (known_user AND known_item) THEN round(mean, 6) END AS mean, true AS fits
+        FROM {_KNOWN_TEST}""",
     "als_top_n": f"SELECT *, true AS fits FROM ({_LISTS})",
     "rerank": _LISTS,
     "two_stage_top_n": _LISTS,
@@ -845,4 +848,34 @@ def _round_as_text(sql: str) -> str:
     return out + sql[at:]
 
 
-ORACLES: dict[str, str] = {name: _round_as_text(VIEWS + body) for name, body in BODIES.items()}
+def _split_views(text: str) -> dict[str, str]:
+    """The shared views by name, in order."""
+    text = text.strip().removeprefix("WITH")
+    found, depth, quoted, start = [], 0, False, 0
+    for at, sign in enumerate(text):
+        quoted ^= sign == "'"
+        depth += 0 if quoted else {"(": 1, ")": -1, "[": 1, "]": -1}.get(sign, 0)
+        if sign == "," and not depth and not quoted:
+            found.append(text[start:at].strip())
+            start = at + 1
+    found.append(text[start:].strip())
+    return {view.split()[0]: view for view in found}
+
+
+_BY_NAME = _split_views(VIEWS)
+
+
+def _statement(body: str) -> str:
+    """The body after the views it names, and those that they name."""
+    needed: set[str] = set()
+    open_texts = [body]
+    while open_texts:
+        words = set(re.findall(r"\w+", open_texts.pop()))
+        new = [name for name in _BY_NAME if name in words and name not in needed]
+        needed.update(new)
+        open_texts += [_BY_NAME[name] for name in new]
+    views = ",\n".join(view for name, view in _BY_NAME.items() if name in needed)
+    return f"WITH {views}\n{body}" if views else body
+
+
+ORACLES: dict[str, str] = {name: _round_as_text(_statement(body)) for name, body in BODIES.items()}

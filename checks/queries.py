@@ -15,6 +15,7 @@ from ranklight.functions.vectors import dot, norm
 from ranklight.operators import alerts, drift, evaluate, experiment, monitoring, promotion, quality
 from ranklight.operators import features as feat
 from ranklight.operators import interactions as prep
+from ranklight.operators import lists
 from ranklight.operators import similarity as sim
 from ranklight.operators.collaborative import (
     als_fit,
@@ -714,18 +715,33 @@ def item_neighbours(spark, sf):
     return sim.item_neighbours(b.item_vectors(spark, sf), 10)
 
 
+def _list_search(spark, sf) -> DataFrame:
+    """One row: recall of the list search, compared share of the item pairs, products with centres."""
+    vectors = b.item_vectors(spark, sf)
+    asked = lists.build_lists(vectors)
+    items = asked.count()
+    found = sim.recall_against(lists.neighbours_in_lists(asked, 10), sim.item_neighbours(vectors, 10))
+    return found.withColumns(
+        {
+            "share": lists.compared_pairs(asked, items).scalar(),
+            "centre_share": F.lit(lists.list_counts(items)[0] / max(1, items - 1)),
+        }
+    )
+
+
 @query
 def item_neighbours_lsh(spark, sf):
-    vectors = b.item_vectors(spark, sf)
-    found = sim.recall_against(sim.item_neighbours_lsh(vectors, 10), sim.item_neighbours(vectors, 10))
-    share = sim.compared_share(sim.hyperplane_buckets(vectors), vectors.count()).scalar()
-    # The given vectors have no clusters: a random share of the pairs would find that share.
-    return found.withColumn("share", share).select(
-        (F.col("share") <= 0.25).alias("few_pairs"),
-        (F.col("recall") >= 2 * F.col("share")).alias("twice_chance"),
+    """Every item's list is nearly the exact one, for a quarter of the pairs."""
+    return _list_search(spark, sf).select(
+        (F.col("share") <= 0.25).alias("few_pairs"), (F.col("recall") >= 0.9).alias("found")
     )
 
 
+@query
+def item_neighbours_lists_figures(spark, sf):
+    return _list_search(spark, sf)
+
+
 @query
 def neighbour_table(spark, sf):
     return _fresh_neighbours(spark, sf)[0]

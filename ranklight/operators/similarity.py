@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ranklight.functions.vectors import l2_normalise
 from ranklight.operators.blocks import ROWS_PER_BLOCK, best_products
 from ranklight.operators.features import liked_items
+from ranklight.operators.lists import item_neighbours_lists
 from ranklight.operators.ordering import top_n
 
 NEIGHBOURS = 20
@@ -140,11 +141,11 @@ def neighbour_table(
     """Top neighbours of every liked item, for user scores and recommendations.
 
     The exact form compares each liked item with all items; ``approximate`` compares only
-    those that share a bucket of random planes, for catalogues too large for that.
+    those in the inverted lists that it asks, for catalogues too large for that.
     """
     liked = liked_items(train).select("item_id").distinct()
     if approximate:
-        return item_neighbours_lsh(vectors, n).join(liked, "item_id", "left_semi")
+        return item_neighbours_lists(vectors, n).join(liked, "item_id", "left_semi")
     asked = vectors.join(liked, "item_id", "left_semi")
     named = [F.col("item_id").alias("id"), F.col("embedding").alias("vector")]
     return _as_neighbours(
