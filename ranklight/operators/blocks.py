@@ -59,8 +59,8 @@ def best_products(
     """Rows ``query_id, item_id, score, rank``: the n largest inner products per query.
 
     ``queries`` and ``items`` have ``id, vector``; with ``group`` both also carry that
-    column and only rows of equal groups meet. ``seen(query_id, item_id)`` rows are left
-    out. Scores are rounded to ``digits`` before ranking; ties go to the smaller id.
+    column and only rows of equal groups meet. ``seen(query_id, item_id)`` rows, which carry the
+    group too, are left out. Scores are rounded to ``digits`` before ranking; ties go to the smaller id.
     """
     if n <= 0:
         raise ValueError(f"n must be positive, got {n}")
@@ -101,15 +101,16 @@ def best_products(
     masked = []
     if seen is not None:
         if group:
-            raise ValueError("seen rows are not supported together with groups")
+            seen, blocks, chunks = seen.join(sizes, group), F.col("_blocks"), F.col("_chunks")
         placed = seen.select(
+            *keys,
             block_of(F.col("query_id"), blocks).alias("_block"),
             block_of(F.col("item_id"), chunks).alias("_chunk"),
             F.struct(F.col("query_id").alias("q"), F.col("item_id").alias("i")).alias("_pair"),
         )
         # Distinct pairs of one cell: at most block size times block size, hashed evenly.
-        masks = placed.groupBy("_block", "_chunk").agg(F.collect_set("_pair").alias("_pairs"))
-        packed_left = packed_left.join(masks, ["_block", "_chunk"], "left").withColumns(
+        masks = placed.groupBy(*keys, "_block", "_chunk").agg(F.collect_set("_pair").alias("_pairs"))
+        packed_left = packed_left.join(masks, [*keys, "_block", "_chunk"], "left").withColumns(
             {"seen_q": F.col("_pairs.q"), "seen_i": F.col("_pairs.i")}
         )
         masked = ["seen_q", "seen_i"]

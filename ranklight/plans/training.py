@@ -8,14 +8,18 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ranklight.functions.vectors import dot
 from ranklight.operators import features as feat
+from ranklight.operators.blocks import best_products
 from ranklight.operators.collaborative import (
     SEARCH_GRID,
     CollaborativeModel,
     als_fit,
     als_score_pairs,
+    popular_for,
     recommend,
     search_settings,
+    users_with_candidates,
 )
 from ranklight.operators.evaluate import (
     CUTOFFS,
@@ -25,9 +29,12 @@ from ranklight.operators.evaluate import (
     compare_metric_sets,
     evaluate_topn,
     log_loss,
+    metric_names,
     rmse,
     to_long,
+    user_metrics,
 )
+from ranklight.operators.factorise import fit_settings
 from ranklight.operators.ranker import ClickModel, ctr_fit, ctr_predict
 from ranklight.operators.similarity import neighbour_table, restrict_to_train_items, semantic_top_n
 from ranklight.plans.serving import two_stage_top_n
@@ -91,24 +98,74 @@ def evaluate_two_stage(
     return evaluate_topn(lists, test, ks, prefix="pipeline_")
 
 
+def evaluate_settings(
+    users: DataFrame, items: DataFrame, train: DataFrame, test: DataFrame, ks: Sequence[int] = CUTOFFS
+) -> DataFrame:
+    """``run_id, metric, value`` of many models in one pass: list metrics and the rating error.
+
+    ``users`` and ``items`` hold ``run_id``, the id and its vector; all models know the same
+    users and items. Every number is that of ``evaluate_collaborative`` for the model alone.
+    """
+    names = [r["run_id"] for r in users.select("run_id").distinct().orderBy("run_id").collect()]
+    rated = feat.drop_null_ratings(train)
+    first = [t.filter(F.col("run_id") == names[0]).drop("run_id") for t in (users, items)]
+    one = CollaborativeModel(*first, rated)
+    asked = test.select("user_id").distinct()
+    served = settle(users_with_candidates(one, asked), "served")
+    runs = F.explode(F.lit(names)).alias("run_id")
+
+    def keyed(rows: DataFrame, name: str, *columns) -> DataFrame:
+        """Users of different runs are different users."""
+        own = F.concat_ws("\t", "run_id", F.col("user_id").cast("string"))
+        return rows.select(own.alias(name), *columns)
+
+    n = max(ks)
+    met = rated.select("user_id", "item_id").join(served, "user_id", "left_semi").select("*", runs)
+    best = best_products(
+        keyed(users.join(served, "user_id", "left_semi"), "id", "vector", "run_id"),
+        items.select(F.col("item_id").alias("id"), "vector", "run_id"),
+        n,
+        seen=keyed(met, "query_id", "item_id", "run_id"),
+        group="run_id",
+        digits=None,
+    )
+    popular = popular_for(asked.join(served, "user_id", "left_anti"), rated, n).select("*", runs)
+    lists = best.select(F.col("query_id").alias("user_id"), "item_id", "rank").unionByName(
+        keyed(popular, "user_id", "item_id", "rank")
+    )
+    truth = keyed(test.select("user_id", "item_id", runs), "user_id", "item_id")
+    per_user = user_metrics(settle(lists, "lists"), truth, ks)
+    per_user = per_user.withColumn("run_id", F.substring_index("user_id", "\t", 1))
+    listed = per_user.groupBy("run_id").agg(*[F.avg(m).alias(m) for m in metric_names(ks)])
+
+    pairs = test.select("user_id", "item_id", "rating", runs)
+    joined = pairs.join(users.withColumnRenamed("vector", "_u"), ["run_id", "user_id"], "left").join(
+        items.withColumnRenamed("vector", "_i"), ["run_id", "item_id"], "left"
+    )
+    known = F.col("_u").isNotNull() & F.col("_i").isNotNull()
+    score = F.when(known, dot(F.col("_u"), F.col("_i"))).otherwise(one.mean().scalar())
+    gap = score - F.col("rating")
+    errors = joined.groupBy("run_id").agg(F.sqrt(F.avg(gap * gap)).alias("rmse"))
+    wide = listed.join(errors, "run_id")
+    return wide.unpivot(["run_id"], [*metric_names(ks), "rmse"], "metric", "value")
+
+
 def als_grid_search(
-    train: DataFrame, test: DataFrame, grid: Mapping[str, Sequence] = SEARCH_GRID
+    train: DataFrame, test: DataFrame, grid: Mapping[str, Sequence] = SEARCH_GRID, **fitting
 ) -> tuple[CollaborativeModel, DataFrame, str]:
-    """Fit every setting; the first with the best NDCG@10 wins.
+    """Fit every setting in shared jobs; the first with the best NDCG@10 wins.
 
-    Returns its model, the metric rows of all settings, and the winning run id.
+    Returns its model, the metric rows of all settings, and the winning run id. ``fitting`` goes
+    to ``fit_settings``.
     """
     train, test = settle(train, "search-train"), settle(test, "search-test")
-    best, best_score, best_run, rows = None, -1.0, "", []
-    for number, setting in enumerate(search_settings(grid)):
-        run = f"als-{number:02d}"
-        model = als_fit(train, **setting)
-        metrics = settle(_labelled(evaluate_collaborative(model, test), run), "search-metrics")
-        rows.append(metrics)
-        score = metrics.filter(F.col("metric") == "ndcg_at_10").first()["value"]
-        if score > best_score:
-            best, best_score, best_run = model, score, run
-    return best, reduce(DataFrame.unionByName, rows), best_run
+    settings = {f"als-{k:02d}": setting for k, setting in enumerate(search_settings(grid))}
+    users, items = fit_settings(train, settings, **fitting)
+    rows = settle(evaluate_settings(users, items, train, test), "search-metrics")
+    scores = rows.filter(F.col("metric") == "ndcg_at_10")
+    best = scores.orderBy(F.desc("value"), "run_id").first()["run_id"]
+    tables = [t.filter(F.col("run_id") == best).drop("run_id") for t in (users, items)]
+    return CollaborativeModel(*tables, feat.drop_null_ratings(train)), rows, best
 
 
 def build_ctr_dataset(
