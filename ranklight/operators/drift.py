@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ranklight.functions.stats import chi_square_p, finite
-from ranklight.operators.ordering import bucket_offsets, running_sums, value_bucket
+from ranklight.operators.ordering import add_range, bucket_offsets, running_sums
 
 MONITORED_NUMERIC = ["latency_ms", "num_items", "request_hour", "request_dayofweek"]
 MONITORED_CATEGORICAL = ["variant"]
@@ -227,16 +227,16 @@ def drift_report(
 
 
 def _distributions(flagged: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per distinct value the running counts of both windows, in value order."""
+    """Per distinct value the running counts of both windows, in value order, and its range."""
     numbers = [finite(F.col(c).cast("double")).alias(c) for c in columns]
     long = flagged.select("part", *numbers).unpivot(["part"], list(columns), "column", "value")
     counts = long.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(
         F.count_if(_is("reference")).alias("old"), F.count_if(_is("current")).alias("new")
     )
     return running_sums(
-        counts,
+        add_range(counts, "value", "column"),
         ["column"],
-        value_bucket(F.col("value")),
+        F.col("_range"),
         ["value"],
         {"old_seen": F.col("old"), "new_seen": F.col("new")},
         totals=True,
@@ -285,13 +285,13 @@ def drift_chi2(flagged: DataFrame, columns: Sequence[str] = MONITORED_CATEGORICA
 
 def drift_wasserstein(flagged: DataFrame, columns: Sequence[str] = MONITORED_NUMERIC) -> DataFrame:
     """Area between the two distribution functions over the reference spread."""
-    rows = _distributions(flagged, columns).withColumn("_bucket", value_bucket(F.col("value")))
-    firsts = rows.groupBy("column", "_bucket").agg(F.min("value").alias("_first"))
-    along = W.partitionBy("column").orderBy("_bucket")
-    following = firsts.select("column", "_bucket", F.lead("_first").over(along).alias("_next_first"))
-    local = W.partitionBy("column", "_bucket").orderBy("value")
+    rows = _distributions(flagged, columns)
+    firsts = rows.groupBy("column", "_range").agg(F.min("value").alias("_first"))
+    along = W.partitionBy("column").orderBy("_range")
+    following = firsts.select("column", "_range", F.lead("_first").over(along).alias("_next_first"))
+    local = W.partitionBy("column", "_range").orderBy("value")
     stepped = rows.withColumn("_next", F.lead("value").over(local)).join(
-        following, ["column", "_bucket"]
+        following, ["column", "_range"]
     )
     step = F.coalesce(F.coalesce("_next", "_next_first") - F.col("value"), F.lit(0.0))
     area = stepped.groupBy("column").agg(F.sum(_gap() * step).alias("area"))

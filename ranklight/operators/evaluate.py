@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ranklight.operators.ordering import running_sums, value_bucket
+from ranklight.operators.ordering import add_range, running_sums
 
 CUTOFFS = (5, 10, 20)
 _CLIP = 1e-15
@@ -103,9 +103,9 @@ def auc_roc(scored: DataFrame, score: str = "score", label: str = "label") -> Da
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")
     )
     ranked = running_sums(
-        counts,
+        add_range(counts, "_score"),
         [],
-        value_bucket(F.col("_score")),
+        F.col("_range"),
         ["_score"],
         {"_pos_seen": F.col("_pos"), "_neg_seen": F.col("_neg")},
         totals=True,

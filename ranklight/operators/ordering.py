@@ -14,28 +14,45 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-_OCTAVE_STEPS = 256
-_SHIFT = 200_000
 _LOWEST = -(2**62)
-_END = 10_000_000
+RANGES = 1024
 
 
-def value_bucket(value: Column) -> Column:
-    """Order-preserving bucket of a number: sign and magnitude to about 0.4 percent.
+def range_bounds(
+    values: DataFrame, value: str, key: str | None = None, ranges: int = RANGES
+) -> Column:
+    """Bounds that cut the rows into ranges of nearly equal size, from a quantile sketch.
 
-    There are fewer than 770,000 different buckets over the whole double range. Infinities
-    have end buckets of their own, and NaN, which sorts last, the one after them.
+    A scalar array, or with ``key`` a scalar map of one for each key (for few keys). The sketch's
+    rank error is a twentieth of a range.
     """
-    number = value.cast("double")
-    steps = F.floor(F.log(F.abs(number)) * _OCTAVE_STEPS) + _SHIFT
-    usual = F.signum(number).cast("bigint") * steps
-    return (
-        F.when(F.isnan(number), F.lit(_END + 1))
-        .when(number == float("inf"), F.lit(_END))
-        .when(number == float("-inf"), F.lit(-_END))
-        .when(number == 0, F.lit(0))
-        .otherwise(usual)
+    shares = [k / ranges for k in range(1, ranges)]
+    sketch = F.percentile_approx(F.col(value).cast("double"), shares, 20 * ranges)
+    if key is None:
+        return values.agg(sketch.alias("bounds")).scalar()
+    each = values.groupBy(key).agg(sketch.alias("bounds"))
+    return each.agg(F.map_from_entries(F.collect_list(F.struct(key, "bounds")))).scalar()
+
+
+def add_range(
+    values: DataFrame, value: str, key: str | None = None, ranges: int = RANGES, name: str = "_range"
+) -> DataFrame:
+    """Add the order-preserving number of each value's range; equal values share it, NaN is last.
+
+    Meant for distinct values: then no range holds many more rows than another, however narrow or
+    wide the values lie. Rows with null get null.
+    """
+    held = range_bounds(values, value, key, ranges)
+    bounds = held if key is None else F.element_at(held, F.col(key))
+    number = F.col(value).cast("double")
+    steps = [1 << k for k in range((ranges - 1).bit_length() - 1, -1, -1)] or [1]
+    found = F.aggregate(
+        F.lit(steps).cast("array<int>"),
+        F.lit(0),
+        lambda at, step: F.when(F.get(F.col("_bounds"), at + step - 1) <= number, at + step).otherwise(at),
     )
+    with_bounds = values.withColumn("_bounds", bounds)
+    return with_bounds.withColumn(name, F.when(number.isNotNull(), found)).drop("_bounds")
 
 
 def bucket_offsets(
@@ -135,9 +152,8 @@ def exact_quantile(df: DataFrame, column: str, q: float) -> DataFrame:
         .groupBy(F.col(column).cast("double").alias("_value"))
         .agg(F.count(F.lit(1)).alias("_count"))
     )
-    ranked = running_sums(
-        counts, [], value_bucket(F.col("_value")), ["_value"], {"_seen": F.col("_count")}, totals=True
-    )
+    ranged = add_range(counts, "_value")
+    ranked = running_sums(ranged, [], F.col("_range"), ["_value"], {"_seen": F.col("_count")}, totals=True)
     target = (F.col("_seen_total") - 1) * F.lit(float(q))
     below, above = F.floor(target), F.ceil(target)
     first, last = F.col("_seen") - F.col("_count"), F.col("_seen") - 1

@@ -5,23 +5,51 @@ import pytest
 from pyspark.sql import functions as F
 
 from ranklight.operators.ordering import (
+    add_range,
     dense_ids,
     exact_quantile,
     row_numbers,
     running_sums,
     top_n,
-    value_bucket,
 )
 
 
-def test_value_bucket_keeps_the_order(spark):
+DRAWN = {
+    "narrow": lambda rng: rng.uniform(0.5, 0.6),
+    "a year of seconds": lambda rng: float(rng.randint(1_700_000_000, 1_731_536_000)),
+    "heavy tail": lambda rng: rng.choice((-1, 1)) * rng.paretovariate(0.3),
+    "wide": lambda rng: rng.uniform(-1, 1) * 10 ** rng.randint(-300, 300),
+}
+
+
+@pytest.mark.parametrize("name", DRAWN)
+def test_ranges_keep_the_order_and_are_even(spark, name):
     rng = random.Random(1)
-    values = [0.0, 1e-300, -1e-300, 1.0, 1e300, -1e300]
-    values += [rng.uniform(-1, 1) * 10 ** rng.randint(-8, 8) for _ in range(3000)]
+    values = {DRAWN[name](rng) for _ in range(8000)}
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    rows = df.select("v", value_bucket(F.col("v")).alias("b")).collect()
-    buckets = [r["b"] for r in sorted(rows, key=lambda r: r["v"])]
-    assert buckets == sorted(buckets)
+    ranged = add_range(df, "v", ranges=100)
+    assert ranged.columns == ["v", "_range"]
+    found = [r["_range"] for r in sorted(ranged.collect(), key=lambda r: r["v"])]
+    assert found == sorted(found)
+    sizes = [found.count(b) for b in range(100)]
+    assert sum(sizes) == len(values) and max(sizes) <= 2 * len(values) / 100 and min(sizes) > 0
+
+
+def test_ranges_of_odd_values_and_by_key(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [("a", v) for v in (nan, inf, -inf, 0.0, -0.0, None, 5.0, 1e300)]
+    rows += [("b", float(v)) for v in range(1000)] + [("b", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    found = add_range(df, "v", "k", ranges=8).collect()
+    assert all((r["v"] is None) == (r["_range"] is None) for r in found)
+    own = sorted((r for r in found if r["k"] == "a" and r["v"] is not None), key=lambda r: (r["v"] != r["v"], r["v"]))
+    assert [r["_range"] for r in own] == sorted(r["_range"] for r in own)
+    assert len({r["_range"] for r in own if r["v"] == 0}) == 1
+    sizes = [sum(r["k"] == "b" and r["_range"] == n for r in found) for n in range(8)]
+    assert max(sizes) <= 2 * 1000 / 8 and sum(sizes) == 1000
+    assert add_range(df.limit(0), "v", "k").count() == 0
+    one = add_range(df.filter("v = 5"), "v").first()
+    assert one["_range"] is not None
 
 
 def test_running_sums_with_one_hot_key(spark):
