@@ -811,11 +811,7 @@ BODIES: dict[str, str] = {
     "stream_route": """SELECT event_id, CASE WHEN
         CAST('0x' || substr(md5(uid), 1, 8) AS BIGINT) % 100 < 5 THEN 'B' ELSE 'A' END AS serving_variant
         FROM ev""",
-    "stream_attribution": """SELECT f.event_id, epoch_us(max(p.timestamp)) AS predicted_at,
-        arg_max(p.variant, p.timestamp) AS variant
-        FROM fb f JOIN preds p ON f.user_id = p.user_id AND p.timestamp <= f.timestamp
-          AND p.timestamp >= f.timestamp - INTERVAL 1 HOUR
-        WHERE f.action = 'click' GROUP BY f.event_id""",
+    "stream_attribution": "SELECT event_id, variant, predicted_at FROM attributed WHERE action = 'click'",
     "stream_alerts": f"""SELECT strftime(start, {_STAMP}) AS start, round(m, 6) AS mean_latency_ms,
         round(e, 6) AS error_rate, m > 60 AS latency_alert, e > 0.25 AS error_alert FROM (
           SELECT date_trunc('hour', ts) AS start, avg(value) AS m,

@@ -37,6 +37,7 @@ from ranklight.plans.prepare import prepare_interactions as run_preparation
 from ranklight.session import own_scratch, scratch_path, settle, tune
 from ranklight.sources import logs, models, reports, tables
 from ranklight.streaming import live
+from ranklight.streaming.attribution import stream_attribute_feedback
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1310,11 +1311,16 @@ def stream_route(spark, sf):
 
 @query
 def stream_attribution(spark, sf):
+    """Every click, with the latest prediction before it where there is one."""
     shown = b.predictions_of(b.event_stream(spark, sf))
     given = b.feedback_of(b.event_stream(spark, sf)).filter(F.col("action") == "click")
-    joined = _run_stream(live.stream_attribution(shown, given), "attribution")
-    rows = live.latest_attribution(joined, ["event_id"])
-    return rows.withColumn("predicted_at", F.unix_micros("predicted_at"))
+    said = stream_attribute_feedback(shown.select("user_id", "timestamp", "variant"), given)
+    rows = _run_upserts(said, "attribution", ["event_id"])
+    return rows.select(
+        "event_id",
+        F.coalesce("variant", F.lit("none")).alias("variant"),
+        F.coalesce(F.unix_micros("predicted_at"), F.lit(0).cast("long")).alias("predicted_at"),
+    )
 
 
 @query
