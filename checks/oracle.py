@@ -590,6 +590,8 @@ BODIES: dict[str, str] = {
           CAST('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 50
           THEN 'B' ELSE 'A' END, rows, true, true, true FROM ({_LISTS})""",
     "text_vectors": """SELECT doc_id, 384 AS dimensions, true AS finite, true AS unit FROM documents""",
+    "text_neighbours": """SELECT DISTINCT item_id, CAST(least(10, (SELECT count(*) - 1 FROM meta)) AS INTEGER)
+        AS neighbours, true AS ranked, true AS sorted, true AS cosines, true AS others FROM liked""",
     "ctr_dataset": f"""SELECT p.user_id, p.item_id, p.label, true AS scored,
         round(coalesce(s.score, 0), 6) AS model_b_score, coalesce(num_ratings, 0) AS num_ratings,
         round(coalesce(avg_rating, 0), 6) AS avg_rating, round(coalesce(rating_std, 0), 6) AS rating_std,

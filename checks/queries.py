@@ -698,6 +698,25 @@ def text_vectors(spark, sf):
     )
 
 
+@query
+def text_neighbours(spark, sf):
+    """Item texts to vectors to the neighbours of all liked items, in one job."""
+    vectors = settle(training.item_text_vectors(b.metadata(spark, sf)), "text-vectors")
+    near = sim.neighbour_table(b.train(spark, sf), vectors, 10)
+    score, place = F.col("_list.similarity"), F.col("_list.rank")
+    listed = near.groupBy("item_id").agg(
+        F.array_sort(F.collect_list(F.struct("rank", "similarity", "neighbour_id"))).alias("_list")
+    )
+    return listed.select(
+        "item_id",
+        F.size("_list").alias("neighbours"),
+        (place.cast("array<int>") == F.sequence(F.lit(1), F.size("_list"))).alias("ranked"),
+        (score == F.sort_array(score, asc=False)).alias("sorted"),
+        F.forall(score, lambda v: F.abs(v) <= 1 + 1e-6).alias("cosines"),
+        (~F.array_contains("_list.neighbour_id", F.col("item_id"))).alias("others"),
+    )
+
+
 @query
 def l2_normalise(spark, sf):
     scaled = b.item_vectors(spark, sf).withColumn(

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ranklight.functions.text import product_text
 from ranklight.functions.vectors import dot
 from ranklight.operators import features as feat
 from ranklight.operators.blocks import best_products
@@ -37,6 +38,7 @@ from ranklight.operators.evaluate import (
 from ranklight.operators.factorise import fit_settings
 from ranklight.operators.ranker import ClickModel, ctr_fit, ctr_predict
 from ranklight.operators.similarity import neighbour_table, restrict_to_train_items, semantic_top_n
+from ranklight.operators.text_space import text_space_vectors
 from ranklight.plans.serving import two_stage_top_n
 from ranklight.session import settle
 
@@ -200,6 +202,13 @@ def train_click_model(
     return model, scored, metrics
 
 
+def item_text_vectors(metadata: DataFrame, dimensions: int = 128, **fitting) -> DataFrame:
+    """``item_id, embedding`` of every item from its title, description and features."""
+    items = feat.one_per_item(metadata)
+    texts = items.select("item_id", product_text(items).alias("text"))
+    return text_space_vectors(texts, "item_id", dimensions, **fitting)
+
+
 def training_job(
     train: DataFrame,
     test: DataFrame,
@@ -216,7 +225,8 @@ def training_job(
     """Metric rows ``run_id, metric, value`` of every model the flags ask for.
 
     ``click_users`` bounds the users whose labelled rows the click model learns from; every
-    evaluation covers all test users. ``approximate`` chooses the hashed item search.
+    evaluation covers all test users. ``approximate`` chooses the item search by lists. Without
+    ``vectors`` the semantic model takes those of the items' texts.
     """
     rows = []
     if tuning:
@@ -229,6 +239,8 @@ def training_job(
     rows.append(metrics_a)
 
     neighbours = None
+    if train_semantic and vectors is None and metadata is not None:
+        vectors = settle(item_text_vectors(metadata), "text-vectors")
     if train_semantic and vectors is not None:
         known = restrict_to_train_items(vectors, train)
         neighbours = settle(neighbour_table(train, known, approximate=approximate), "neighbours")
