@@ -256,25 +256,54 @@ def run_links(
     return np.concatenate(out)
 
 
-def hamming_links(fingerprints: DataFrame, columns: list[str], radius: int, parts: Parts) -> DataFrame:
+def run_pairs(
+    keys: np.ndarray, nodes: np.ndarray, fps: np.ndarray, index: np.ndarray, apart: np.ndarray, radius: int
+) -> Iterator[np.ndarray]:
+    """All pairs of nodes among rows with equal keys whose ``apart`` differs, in blocks."""
+    cuts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, int)
+    for start, end in zip(cuts, np.r_[cuts[1:], len(keys)]):
+        if not index[start:end].any() or (apart[start:end] == apart[start]).all():
+            continue
+        for low in range(start, end, 256):
+            high = min(low + 256, end)
+            for first in range(low, end, 4096):
+                last = min(first + 4096, end)
+                near = _distance(fps[low:high, None], fps[None, first:last]) <= radius
+                near &= apart[low:high, None] != apart[None, first:last]
+                i, j = np.nonzero(near)
+                pairs = np.column_stack([nodes[low + i], nodes[first + j]])
+                yield np.unique(np.sort(pairs, axis=1), axis=0)
+
+
+def hamming_links(
+    fingerprints: DataFrame,
+    columns: list[str],
+    radius: int,
+    parts: Parts,
+    apart: str | None = None,
+    least_hubs: bool = False,
+) -> DataFrame:
     """Links a, b of ``node`` values whose fingerprints are within ``radius`` of each other.
 
     Needs a long ``node`` that is distinct for each distinct fingerprint, whose 64-bit words are in
     ``columns``. A chain of links joins two nodes where a chain of pairs that share a part
     does; of a dense group only a spanning part is returned, so there are fewer than four links
     for each row dealt out. Keys with very many rows are cut into chunks, and every two
-    chunks meet in a task of their own.
+    chunks meet in a task of their own. With ``apart``, a long column, all pairs that share a part
+    and differ in that column are returned instead, a pair once for each part. With ``least_hubs``
+    the spanning part grows from the smallest node of a group, so that most parts return the same links.
     """
     masks = np.array(
         [[sum(1 << (b - 64 * w) for b in bits if b // 64 == w) for w in range(len(columns))] for bits, _ in parts],
         np.uint64,
     )
-    names = ["key", "node", *columns, "indexed"]
+    carried = ["node", *columns, *([apart] if apart else [])]
+    names = ["key", *carried, "indexed"]
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = _words(batch, columns)
-            rest = [batch.column(c) for c in ("node", *columns)]
+            rest = [batch.column(c) for c in carried]
             for number, (bits, threshold) in enumerate(parts):
                 for k in range(threshold + 1):
                     for flipped in combinations(bits, k):
@@ -289,11 +318,11 @@ def hamming_links(fingerprints: DataFrame, columns: list[str], radius: int, part
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[np.ndarray] | None = None
 
-        def done(rows: list[np.ndarray]) -> pa.RecordBatch:
-            found = run_links(*rows, radius)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["a", "b"]
-            )
+        def done(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            for found in run_pairs(*rows, radius) if apart else [run_links(*rows, radius)]:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["a", "b"]
+                )
 
         for batch in batches:
             rows = [
@@ -301,19 +330,21 @@ def hamming_links(fingerprints: DataFrame, columns: list[str], radius: int, part
                 batch.column("node").to_numpy(),
                 _words(batch, columns),
                 batch.column("indexed").to_numpy(zero_copy_only=False),
+                *([batch.column(apart).to_numpy()] if apart else []),
             ]
             rows = rows if rest is None else [np.concatenate(x) for x in zip(rest, rows)]
             if not len(rows[0]):
                 continue
             # The last key may go on in the next batch.
             cut = int(np.flatnonzero(np.r_[True, rows[0][1:] != rows[0][:-1]])[-1])
-            yield done([x[:cut] for x in rows])
+            yield from done([x[:cut] for x in rows])
             rest = [x[cut:] for x in rows]
         if rest is not None:
-            yield done(rest)
+            yield from done(rest)
 
-    kinds = ", ".join(f"{c} long" for c in columns)
-    rows = fingerprints.select("node", *columns).mapInArrow(dealt, f"key long, node long, {kinds}, indexed boolean")
+    kinds = ", ".join(f"{c} long" for c in ["key", *carried])
+    rows = fingerprints.select(*carried).mapInArrow(dealt, f"{kinds}, indexed boolean")
+    order = ["node"] if least_hubs else []
     heavy = (
         rows.groupBy("key")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -331,7 +362,7 @@ def hamming_links(fingerprints: DataFrame, columns: list[str], radius: int, part
         .select(*names)
     )
     found = [
-        x.repartition("key").sortWithinPartitions("key").mapInArrow(linked, "a long, b long")
+        x.repartition("key").sortWithinPartitions("key", *order).mapInArrow(linked, "a long, b long")
         for x in (light, cells)
     ]
     return found[0].unionByName(found[1])

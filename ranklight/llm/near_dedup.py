@@ -8,11 +8,11 @@ from math import acos, pi, sqrt
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ranklight.llm.common import fresh, pieces, row_key, texts_of
+from ranklight.llm.common import fresh, lower_ascii, pieces, row_key, texts_of
 from ranklight.llm.components import connected_components
 from ranklight.llm.hamming import Parts, bit_statistics, hamming_links, likely_parts, sure_parts
 from ranklight.llm.text_stats import mix
@@ -113,26 +113,116 @@ def differing_share(similarity: float) -> float:
     return acos(2 * similarity / (1 + similarity)) / pi
 
 
+def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
+    """All columns but the text, and ``shingles``: its distinct shingle hashes, sorted, 8 bytes each."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text", 8 << 20):
+            sets = [np.unique(shingle_hashes(t, width)).tobytes() for t in texts_of(batch.column("text"))]
+            yield batch.drop_columns(["text"]).append_column("shingles", pa.array(sets, pa.binary()))
+
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
+    return docs.mapInArrow(hashed, ", ".join([*kinds, "shingles binary"]))
+
+
+def verified_links(links: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """a, b and ``alike`` of every link: whether the shared over all distinct shingles reach ``similarity``.
+
+    ``texts`` has node and text, one row or several alike for each node. Only texts of linked nodes
+    are moved, once; a link moves the shingles of its two ends.
+    """
+    ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    single = texts.join(ends, "node", "left_semi").dropDuplicates(["node"])
+    sets = settle(shingle_sets(single.select("node", "text"), width), "shingles")
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("s"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("t"))
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            alike = []
+            for s, t in zip(batch.column("s").to_pylist(), batch.column("t").to_pylist()):
+                least, most = sorted((len(s), len(t)))
+                if least < similarity * most - 1e-9:
+                    alike.append(False)
+                    continue
+                both = np.concatenate([np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)])
+                both.sort(kind="stable")
+                shared = int((both[1:] == both[:-1]).sum())
+                alike.append(shared >= similarity * (len(both) - shared) - 1e-9)
+            yield batch.select(["a", "b"]).append_column("alike", pa.array(alike, pa.bool_()))
+
+    met = links.join(left, "a").join(right, "b").select("a", "b", "s", "t")
+    return met.mapInArrow(compared, "a long, b long, alike boolean")
+
+
+def _ordered(links: DataFrame) -> DataFrame:
+    return links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _with_roots(nodes: DataFrame, roots: DataFrame, name: str) -> DataFrame:
+    """``nodes`` and the root of each as ``name``; a node without links is its own."""
+    found = roots.select(F.col("node").alias("_linked"), F.col("root").alias(name))
+    joined = nodes.join(found, F.col("node") == F.col("_linked"), "left").drop("_linked")
+    return joined.withColumn(name, F.coalesce(name, "node"))
+
+
+def similar_components(
+    found: DataFrame, texts: DataFrame, words: int, radius: int, width: int, similarity: float
+) -> DataFrame:
+    """``node`` and ``root``: components of the links within ``radius`` that the shingles confirm.
+
+    A dense group first proposes links that span it. Where the shingles refuse some of these, all
+    pairs of that group whose ends are not yet together are proposed as well, so a pair is not
+    lost because the links around it failed. Groups that hold together by their spanning links need no more.
+    """
+    columns = [f"fp{k}" for k in range(words)]
+    nodes = settle(found.select("node", *columns).dropDuplicates(["node"]), "nodes")
+    parts = _planned(nodes, columns, radius, radius / (64 * words))
+    spanning = hamming_links(nodes, columns, radius, parts, least_hubs=True)
+    links = settle(_ordered(spanning), "candidates")
+    judged = settle(verified_links(links, texts, width, similarity), "judged")
+    sure = judged.filter("alike").select("a", "b")
+    together = connected_components(sure)
+    near = connected_components(links)
+    placed = settle(_with_roots(_with_roots(nodes, near, "area"), together, "apart"), "placed")
+    # Areas in which a refused link still lies between two components.
+    at_a = placed.select(F.col("node").alias("a"), "area", F.col("apart").alias("apart_a"))
+    at_b = placed.select(F.col("node").alias("b"), F.col("apart").alias("apart_b"))
+    torn = judged.filter("NOT alike").join(at_a, "a").join(at_b, "b").filter("apart_a <> apart_b")
+    # Two nodes have one link, which is already judged.
+    many = placed.groupBy("area").count().filter("count > 2").select("area")
+    open_nodes = settle(
+        placed.join(torn.select("area").distinct(), "area", "left_semi").join(many, "area", "left_semi"), "open"
+    )
+    rest = _ordered(hamming_links(open_nodes, columns, radius, parts, apart="apart"))
+    rest = settle(rest.join(judged.select("a", "b"), ["a", "b"], "left_anti"), "candidates")
+    more = verified_links(rest, texts, width, similarity).filter("alike").select("a", "b")
+    # The components found so far stand for their links.
+    tree = together.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return _with_roots(nodes.select("node"), connected_components(tree.unionByName(more)), "root")
+
+
 def keep_one_per_group(
     docs: DataFrame, width: int = 5, similarity: float = 0.8, words: int = 4
 ) -> DataFrame:
     """The documents, all columns, without those whose group has a smaller doc_id.
 
-    Texts link where their fingerprints of ``words`` times 64 bits differ in no more bits than
-    expected at ``similarity``, and 1.6 standard deviations; that is an
-    estimate of the similarity, and 95 of 100 pairs at the bound itself are linked. Of a group without
-    ids, or of several rows with the smallest id, one row stays.
+    Texts link where the distinct ``width``-word shingles they share are at least ``similarity`` of all
+    they have; texts without words are alike. Pairs are proposed by fingerprints of ``words`` times 64
+    bits that differ in no more bits than expected at ``similarity``, and 1.6 standard deviations (95 of
+    100 pairs at the bound itself, nearly all above it); every link is then checked exactly. Of a group
+    without ids, or of several rows with the smallest id, one row stays.
     """
     share, bits = differing_share(similarity), 64 * words
     radius = int(bits * share + 1.6 * sqrt(bits * share * (1 - share)))
     columns = [f"fp{k}" for k in range(words)]
     row = fresh(docs, "_row")
     keyed = docs.withColumn(row, row_key())
-    narrow = docs.select("doc_id", "text", row_key().alias("_row"))
-    found = fingerprints(narrow, width, words, ("doc_id", "_row"))
-    found = settle(found.withColumn("node", F.xxhash64(*columns)), "fingerprints")
-    # Parts are sized for the pairs that differ most, those at the radius.
-    components = fingerprint_components(found, words, radius, radius / bits).withColumnRenamed("node", "place")
+    narrow = docs.select("doc_id", "text", row_key().alias("_row"), _sequence_key().alias("node"))
+    found = settle(fingerprints(narrow, width, words, ("doc_id", "_row", "node")), "fingerprints")
+    components = similar_components(
+        found.select("node", *columns), narrow.select("node", "text"), words, radius, width, similarity
+    ).withColumnRenamed("node", "place")
     placed = found.join(components, F.col("node") == F.col("place"))
     # One row for each component by a partial minimum; a large group is never gathered.
     kept = placed.groupBy("root").agg(
@@ -143,3 +233,9 @@ def keep_one_per_group(
     own = W.partitionBy(row).orderBy(F.lit(1))
     numbered = rows.withColumn(number, F.row_number().over(own)).filter(F.col(number) == 1)
     return numbered.select(*[f"`{c}`" for c in docs.columns])
+
+
+def _sequence_key() -> Column:
+    """A long that texts of the same words share."""
+    words = F.trim(F.regexp_replace(lower_ascii(F.coalesce("text", F.lit(""))), r"[\x20\x09-\x0D]+", " "))
+    return F.xxhash64(words)
