@@ -264,15 +264,16 @@ def run_pairs(
     for start, end in zip(cuts, np.r_[cuts[1:], len(keys)]):
         if not index[start:end].any() or (apart[start:end] == apart[start]).all():
             continue
-        for low in range(start, end, 256):
-            high = min(low + 256, end)
-            for first in range(low, end, 4096):
-                last = min(first + 4096, end)
+        for low in range(start, end, 128):
+            high = min(low + 128, end)
+            for first in range(low, end, 1024):
+                last = min(first + 1024, end)
                 near = _distance(fps[low:high, None], fps[None, first:last]) <= radius
                 near &= apart[low:high, None] != apart[None, first:last]
                 i, j = np.nonzero(near)
-                pairs = np.column_stack([nodes[low + i], nodes[first + j]])
-                yield np.unique(np.sort(pairs, axis=1), axis=0)
+                once = low + i < first + j
+                if once.any():
+                    yield np.column_stack([nodes[low + i[once]], nodes[first + j[once]]])
 
 
 def hamming_links(

@@ -128,17 +128,18 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
 def verified_links(links: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
     """a, b and ``alike`` of every link: whether the shared over all distinct shingles reach ``similarity``.
 
-    ``texts`` has node and text, one row or several alike for each node. Only texts of linked nodes
-    are moved, once; a link moves the shingles of its two ends.
+    ``texts`` has node, its _row (see ``row_key``) and text; of each linked node the text of one row is
+    taken, so copies do not travel. A link moves the shingles of its two ends.
     """
     ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
-    single = texts.join(ends, "node", "left_semi").dropDuplicates(["node"])
+    one = texts.select("node", "_row").groupBy("node").agg(F.min("_row").alias("_row")).join(ends, "node", "left_semi")
+    single = texts.select("_row", "text").join(one, "_row").dropDuplicates(["_row"])
     sets = settle(shingle_sets(single.select("node", "text"), width), "shingles")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("s"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("t"))
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(k, 256) for b in batches for k in range(0, b.num_rows, 256)):
             alike = []
             for s, t in zip(batch.column("s").to_pylist(), batch.column("t").to_pylist()):
                 least, most = sorted((len(s), len(t)))
@@ -171,9 +172,9 @@ def similar_components(
 ) -> DataFrame:
     """``node`` and ``root``: components of the links within ``radius`` that the shingles confirm.
 
-    A dense group first proposes links that span it. Where the shingles refuse some of these, all
-    pairs of that group whose ends are not yet together are proposed as well, so a pair is not
-    lost because the links around it failed. Groups that hold together by their spanning links need no more.
+    A dense group first proposes links that span it. Where the shingles refuse one, all pairs within
+    the radius whose ends are not yet together are proposed as well, so a pair is not lost because
+    the links around it failed. Groups that hold together by their spanning links need no more.
     """
     columns = [f"fp{k}" for k in range(words)]
     nodes = settle(found.select("node", *columns).dropDuplicates(["node"]), "nodes")
@@ -181,25 +182,28 @@ def similar_components(
     spanning = hamming_links(nodes, columns, radius, parts, least_hubs=True)
     links = settle(_ordered(spanning), "candidates")
     judged = settle(verified_links(links, texts, width, similarity), "judged")
-    sure = judged.filter("alike").select("a", "b")
-    together = connected_components(sure)
-    near = connected_components(links)
-    placed = settle(_with_roots(_with_roots(nodes, near, "area"), together, "apart"), "placed")
-    # Areas in which a refused link still lies between two components.
-    at_a = placed.select(F.col("node").alias("a"), "area", F.col("apart").alias("apart_a"))
-    at_b = placed.select(F.col("node").alias("b"), F.col("apart").alias("apart_b"))
-    torn = judged.filter("NOT alike").join(at_a, "a").join(at_b, "b").filter("apart_a <> apart_b")
-    # Two nodes have one link, which is already judged.
-    many = placed.groupBy("area").count().filter("count > 2").select("area")
-    open_nodes = settle(
-        placed.join(torn.select("area").distinct(), "area", "left_semi").join(many, "area", "left_semi"), "open"
-    )
-    rest = _ordered(hamming_links(open_nodes, columns, radius, parts, apart="apart"))
+    together = connected_components(judged.filter("alike").select("a", "b"))
+    placed = settle(_with_roots(nodes, together, "apart"), "placed")
+    # Components at the ends of refused links; any other pair within the radius is already together.
+    torn = _between(judged.filter("NOT alike"), placed)
+    edges = torn.select(F.col("apart_a").alias("apart")).union(torn.select("apart_b")).distinct()
+    opened = settle(placed.join(edges, "apart", "left_semi"), "open")
+    rest = _ordered(hamming_links(opened, columns, radius, parts, apart="apart"))
     rest = settle(rest.join(judged.select("a", "b"), ["a", "b"], "left_anti"), "candidates")
-    more = verified_links(rest, texts, width, similarity).filter("alike").select("a", "b")
-    # The components found so far stand for their links.
-    tree = together.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    return _with_roots(nodes.select("node"), connected_components(tree.unionByName(more)), "root")
+    more = verified_links(rest, texts, width, similarity).filter("alike")
+    # The components found so far are the nodes of what is left to join.
+    joined = connected_components(_between(more, placed).select(F.col("apart_a").alias("a"), F.col("apart_b").alias("b")))
+    last = joined.select(F.col("node").alias("_apart"), F.col("root").alias("_root"))
+    rooted = placed.join(last, F.col("apart") == F.col("_apart"), "left")
+    return rooted.select("node", F.coalesce("_root", "apart").alias("root"))
+
+
+def _between(links: DataFrame, placed: DataFrame) -> DataFrame:
+    """The distinct pairs of different components, ``apart_a`` and ``apart_b``, that links lie between."""
+    at_a = placed.select(F.col("node").alias("a"), F.col("apart").alias("apart_a"))
+    at_b = placed.select(F.col("node").alias("b"), F.col("apart").alias("apart_b"))
+    ends = links.select("a", "b").join(at_a, "a").join(at_b, "b").filter("apart_a <> apart_b")
+    return ends.select("apart_a", "apart_b").distinct()
 
 
 def keep_one_per_group(
@@ -221,7 +225,7 @@ def keep_one_per_group(
     narrow = docs.select("doc_id", "text", row_key().alias("_row"), _sequence_key().alias("node"))
     found = settle(fingerprints(narrow, width, words, ("doc_id", "_row", "node")), "fingerprints")
     components = similar_components(
-        found.select("node", *columns), narrow.select("node", "text"), words, radius, width, similarity
+        found.select("node", *columns), narrow.select("node", "_row", "text"), words, radius, width, similarity
     ).withColumnRenamed("node", "place")
     placed = found.join(components, F.col("node") == F.col("place"))
     # One row for each component by a partial minimum; a large group is never gathered.
