@@ -10,7 +10,7 @@ for a chance to find a pair instead of a guarantee.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from itertools import combinations
 from math import ceil, comb, log
 
@@ -257,9 +257,18 @@ def run_links(
 
 
 def run_pairs(
-    keys: np.ndarray, nodes: np.ndarray, fps: np.ndarray, index: np.ndarray, apart: np.ndarray, radius: int
+    keys: np.ndarray,
+    nodes: np.ndarray,
+    fps: np.ndarray,
+    index: np.ndarray,
+    apart: np.ndarray,
+    radius: int,
+    allowed: Callable[[np.ndarray, np.ndarray], np.ndarray],
 ) -> Iterator[np.ndarray]:
-    """All pairs of nodes among rows with equal keys whose ``apart`` differs, in blocks."""
+    """All pairs of nodes among rows with equal keys whose ``apart`` differs, in blocks.
+
+    ``allowed`` says of the places of two rows each which pairs are to be returned.
+    """
     cuts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, int)
     for start, end in zip(cuts, np.r_[cuts[1:], len(keys)]):
         if not index[start:end].any() or (apart[start:end] == apart[start]).all():
@@ -272,8 +281,10 @@ def run_pairs(
                 near &= apart[low:high, None] != apart[None, first:last]
                 i, j = np.nonzero(near)
                 once = low + i < first + j
-                if once.any():
-                    yield np.column_stack([nodes[low + i[once]], nodes[first + j[once]]])
+                one, other = low + i[once], first + j[once]
+                stay = allowed(one, other)
+                if stay.any():
+                    yield np.column_stack([nodes[one[stay]], nodes[other[stay]]])
 
 
 def hamming_links(
@@ -283,6 +294,8 @@ def hamming_links(
     parts: Parts,
     apart: str | None = None,
     least_hubs: bool = False,
+    bounds: Sequence[str] = (),
+    similarity: float = 0.0,
 ) -> DataFrame:
     """Links a, b of ``node`` values whose fingerprints are within ``radius`` of each other.
 
@@ -291,15 +304,18 @@ def hamming_links(
     does; of a dense group only a spanning part is returned, so there are fewer than four links
     for each row dealt out. Keys with very many rows are cut into chunks, and every two
     chunks meet in a task of their own. With ``apart``, a long column, all pairs that share a part
-    and differ in that column are returned instead, a pair once for each part. With ``least_hubs``
+    and differ in that column are returned instead, each in the first part that it shares (under a key
+    with very many rows more often). ``bounds`` then names the columns of ``difference_bounds``, and a
+    pair that cannot reach ``similarity`` by them is left out where it is met. With ``least_hubs``
     the spanning part grows from the smallest node of a group, so that most parts return the same links.
     """
     masks = np.array(
         [[sum(1 << (b - 64 * w) for b in bits if b // 64 == w) for w in range(len(columns))] for bits, _ in parts],
         np.uint64,
     )
-    carried = ["node", *columns, *([apart] if apart else [])]
-    names = ["key", *carried, "indexed"]
+    carried = ["node", *columns, *([apart, *bounds] if apart else [])]
+    names = ["key", *carried, "indexed", *(["part"] if apart else [])]
+    thresholds = np.array([t for _, t in parts])
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -314,13 +330,36 @@ def hamming_links(
                             key = mix(key) ^ ((words[:, w] & masks[number, w]) ^ np.uint64(turned))
                         own = pa.array(mix(key).view(np.int64))
                         indexed = pa.array(np.full(len(words), k == 0))
-                        yield pa.RecordBatch.from_arrays([own, *rest, indexed], names)
+                        part = [pa.array(np.full(len(words), number, np.int32))] if apart else []
+                        yield pa.RecordBatch.from_arrays([own, *rest, indexed, *part], names)
+
+    def first_met(rows: list[np.ndarray]) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+        _, nodes, fps, index, _, part, bound = rows
+
+        def allowed(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            # A pair counts under the own key of one of the two: of the smaller node, unless they agree.
+            stay = (index[i] & (index[j] | (nodes[i] < nodes[j]))) | (index[j] & (nodes[j] < nodes[i]))
+            if bounds:
+                least = _distance(bound[i, 1:], bound[j, 1:])
+                most = (bound[i, 0] + bound[j, 0]).astype(float) * (1 - similarity) / (1 + similarity)
+                stay &= least <= most + 1e-9
+            at = np.flatnonzero(stay)
+            differing = fps[i[at]] ^ fps[j[at]]
+            for number in range(len(masks)):
+                if not len(at):
+                    break
+                met = np.bitwise_count(differing & masks[number]).sum(1) <= thresholds[number]
+                stay[at[met & (part[i[at]] > number)]] = False
+                at, differing = at[~met], differing[~met]
+            return stay
+
+        return allowed
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[np.ndarray] | None = None
 
         def done(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            for found in run_pairs(*rows, radius) if apart else [run_links(*rows, radius)]:
+            for found in run_pairs(*rows[:5], radius, first_met(rows)) if apart else [run_links(*rows, radius)]:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["a", "b"]
                 )
@@ -331,8 +370,10 @@ def hamming_links(
                 batch.column("node").to_numpy(),
                 _words(batch, columns),
                 batch.column("indexed").to_numpy(zero_copy_only=False),
-                *([batch.column(apart).to_numpy()] if apart else []),
             ]
+            if apart:
+                rows += [batch.column(apart).to_numpy(), batch.column("part").to_numpy()]
+                rows.append(_words(batch, bounds) if bounds else np.zeros((batch.num_rows, 0), np.uint64))
             rows = rows if rest is None else [np.concatenate(x) for x in zip(rest, rows)]
             if not len(rows[0]):
                 continue
@@ -344,7 +385,8 @@ def hamming_links(
             yield from done(rest)
 
     kinds = ", ".join(f"{c} long" for c in ["key", *carried])
-    rows = fingerprints.select(*carried).mapInArrow(dealt, f"{kinds}, indexed boolean")
+    kinds += ", indexed boolean" + (", part int" if apart else "")
+    rows = fingerprints.select(*carried).mapInArrow(dealt, kinds)
     order = ["node"] if least_hubs else []
     heavy = (
         rows.groupBy("key")

@@ -125,16 +125,55 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(hashed, ", ".join([*kinds, "shingles binary"]))
 
 
-def verified_links(links: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
-    """a, b and ``alike`` of every link: whether the shared over all distinct shingles reach ``similarity``.
+#: Words of the parities that ``difference_bounds`` takes: exact enough for texts of some hundred shingles.
+_PARITY = 8
+
+
+def difference_bounds(sets: DataFrame) -> DataFrame:
+    """node, ``size`` (distinct shingles) and the longs q0, q1, ...: the parity of the count of each cell.
+
+    Shingles are hashed to cells. Where the parities of two texts differ, one of them has a shingle that
+    the other lacks, so they differ in at least as many shingles as bits: a proof, never a guess, that
+    a pair is below a similarity. Its worth falls with the length of the texts.
+    """
+    columns = [f"q{k}" for k in range(_PARITY)]
+
+    def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, words = [], []
+            for held in batch.column("shingles").to_pylist():
+                hashes = np.frombuffer(held, np.uint64)
+                cells = (mix(hashes) % np.uint64(64 * _PARITY)).astype(np.int64)
+                odd = np.bincount(cells, minlength=64 * _PARITY) & 1
+                sizes.append(len(hashes))
+                words.append(np.packbits(odd.astype(bool), bitorder="little").view("<i8"))
+            table = np.array(words, np.int64).reshape(-1, _PARITY)
+            arrays = [pa.array(table[:, k].copy()) for k in range(_PARITY)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(sizes, pa.int64()), *arrays], ["node", "size", *columns]
+            )
+
+    kinds = ", ".join(f"{c} long" for c in ["node", "size", *columns])
+    return sets.select("node", "shingles").mapInArrow(folded, kinds)
+
+
+def sets_of_ends(links: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """node and ``shingles`` of every node at the end of a link.
 
     ``texts`` has node, its _row (see ``row_key``) and text; of each linked node the text of one row is
-    taken, so copies do not travel. A link moves the shingles of its two ends.
+    taken, so copies do not travel.
     """
     ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
     one = texts.select("node", "_row").groupBy("node").agg(F.min("_row").alias("_row")).join(ends, "node", "left_semi")
     single = texts.select("_row", "text").join(one, "_row").dropDuplicates(["_row"])
-    sets = settle(shingle_sets(single.select("node", "text"), width), "shingles")
+    return shingle_sets(single.select("node", "text"), width)
+
+
+def verified_links(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """a, b and ``alike`` of every link: whether the shared over all distinct shingles reach ``similarity``.
+
+    ``sets`` has the shingles of all ends. A link moves the shingles of its two ends.
+    """
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("s"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("t"))
 
@@ -174,23 +213,27 @@ def similar_components(
 
     A dense group first proposes links that span it. Where the shingles refuse one, all pairs within
     the radius whose ends are not yet together are proposed as well, so a pair is not lost because
-    the links around it failed. Groups that hold together by their spanning links need no more.
+    the links around it failed; only pairs whose shingles provably differ in too many are refused
+    at once (``difference_bounds``). Groups that hold together by their spanning links need no more.
     """
     columns = [f"fp{k}" for k in range(words)]
     nodes = settle(found.select("node", *columns).dropDuplicates(["node"]), "nodes")
     parts = _planned(nodes, columns, radius, radius / (64 * words))
     spanning = hamming_links(nodes, columns, radius, parts, least_hubs=True)
     links = settle(_ordered(spanning), "candidates")
-    judged = settle(verified_links(links, texts, width, similarity), "judged")
+    sets = settle(sets_of_ends(links, texts, width), "shingles")
+    judged = settle(verified_links(links, sets, similarity), "judged")
     together = connected_components(judged.filter("alike").select("a", "b"))
     placed = settle(_with_roots(nodes, together, "apart"), "placed")
     # Components at the ends of refused links; any other pair within the radius is already together.
     torn = _between(judged.filter("NOT alike"), placed)
     edges = torn.select(F.col("apart_a").alias("apart")).union(torn.select("apart_b")).distinct()
-    opened = settle(placed.join(edges, "apart", "left_semi"), "open")
-    rest = _ordered(hamming_links(opened, columns, radius, parts, apart="apart"))
+    # Every node of such a component is the end of a link, so its shingles are there.
+    opened = settle(placed.join(edges, "apart", "left_semi").join(difference_bounds(sets), "node"), "open")
+    bounds = ["size", *[f"q{k}" for k in range(_PARITY)]]
+    rest = _ordered(hamming_links(opened, columns, radius, parts, "apart", bounds=bounds, similarity=similarity))
     rest = settle(rest.join(judged.select("a", "b"), ["a", "b"], "left_anti"), "candidates")
-    more = verified_links(rest, texts, width, similarity).filter("alike")
+    more = verified_links(rest, sets, similarity).filter("alike")
     # The components found so far are the nodes of what is left to join.
     joined = connected_components(_between(more, placed).select(F.col("apart_a").alias("a"), F.col("apart_b").alias("b")))
     last = joined.select(F.col("node").alias("_apart"), F.col("root").alias("_root"))

@@ -158,3 +158,28 @@ def test_pipeline_equals_brute_force(spark, sf_dir):
         ends[doc] = start + length
     whole = sorted(map(repr, corpus_pipeline.run(spark, sf_dir).select("doc_id", "start", "length").collect()))
     assert whole == sorted(map(repr, after.select("doc_id", "start", "length").collect()))
+
+
+def test_bounds_never_exceed_what_texts_differ_in(spark):
+    frame = spark.createDataFrame(planted_groups(), "doc_id long, text string, lang string, source string, n_chars long")
+    sets = near_dedup.shingle_sets(frame.selectExpr("doc_id AS node", "text"), 5)
+    rows = {r["node"]: r.asDict() for r in near_dedup.difference_bounds(sets).collect()}
+    whole = sets_of(texts(frame))
+    refused = 0
+    for a in whole:
+        assert rows[a]["size"] == len(whole[a])
+        for b in whole:
+            least = sum(((rows[a][f"q{k}"] ^ rows[b][f"q{k}"]) & (2**64 - 1)).bit_count() for k in range(8))
+            assert least <= len(whole[a] ^ whole[b])
+            refused += least > (len(whole[a]) + len(whole[b])) / 9
+    assert refused > len(whole)
+
+
+def test_pairs_apart_are_given_once_and_refused_by_their_bounds(spark):
+    nodes = [(0, 1, 0, 9, 0), (1, 3, 1, 9, 1), (2, 3 | 4, 2, 9, 0b111), (3, 1 | 8, 3, 9, 0b11)]
+    frame = spark.createDataFrame(nodes, "node long, fp0 long, side long, size long, q0 long")
+    n, both = near_dedup.bit_statistics(frame, ["fp0"])
+    parts = sure_parts(n, both, 3)
+    found = hamming_links(frame, ["fp0"], 3, parts, "side", bounds=["size", "q0"], similarity=0.8).collect()
+    # Of 18 shingles two may differ: nodes 0 and 2 have parities that differ in three.
+    assert sorted(tuple(sorted(r)) for r in found) == [(0, 1), (0, 3), (1, 2), (1, 3), (2, 3)]
