@@ -453,6 +453,9 @@ BODIES: dict[str, str] = {
           SELECT user_id FROM {_late(source)} ORDER BY user_id LIMIT 5)), '') AS examples"""
         for name, source in (("temporal", "split"), ("mixed", "mixed"))
     ),
+    "distinct_counts_sketched": """SELECT 'user_id' AS "column", count(*) AS rows,
+        count(DISTINCT user_id) AS exact, true AS near FROM clean
+        UNION ALL SELECT 'item_id', count(*), count(DISTINCT item_id), true FROM clean""",
     "dataset_summary": """SELECT count(*) AS interactions, count(DISTINCT user_id) AS users,
         count(DISTINCT item_id) AS items, count(*) FILTER (split = 'train') AS train_rows,
         count(*) FILTER (split = 'test') AS test_rows FROM split""",
@@ -544,6 +547,14 @@ BODIES: dict[str, str] = {
           FROM vectors)""",
     "item_neighbours": """SELECT item_id, neighbour_id, round(similarity, 6) AS similarity, rank
         FROM nearest WHERE rank <= 10""",
+    "item_products_bounded": """SELECT asked_id, item_id, round(score, 6) AS score, rank::INTEGER AS rank
+        FROM (SELECT *, row_number() OVER (PARTITION BY asked_id ORDER BY score DESC, item_id) AS rank FROM (
+          SELECT q.item_id AS asked_id, s.item_id,
+            round(list_inner_product(q.embedding::DOUBLE[], s.long_vector), 9) AS score
+          FROM vectors q, (
+            SELECT v.item_id, list_transform(embedding::DOUBLE[], lambda x: x * ln(1 + coalesce(n, 0))) AS long_vector
+            FROM vectors v LEFT JOIN (SELECT item_id, count(*) AS n FROM train GROUP BY ALL) USING (item_id)) s))
+        WHERE rank <= 10""",
     "neighbour_table": """SELECT item_id, neighbour_id, round(similarity, 6) AS similarity, rank
         FROM nearest WHERE item_id IN (SELECT item_id FROM liked)""",
     "semantic_top_n": """SELECT user_id, item_id, round(score, 6) AS score, rank
@@ -699,6 +710,11 @@ BODIES: dict[str, str] = {
     "action_counts": "SELECT action, count(*) AS events FROM fb GROUP BY action",
     "feedback_hourly": f"""SELECT strftime(date_trunc('hour', logged_at), {_STAMP}) AS hour,
         action, count(*) AS events FROM fb GROUP BY ALL""",
+    "feedback_hourly_wide": f"""SELECT strftime(date_trunc('hour', logged_at), {_STAMP}) AS hour,
+        count(*) FILTER (action = 'click') AS click, count(*) FILTER (action = 'purchase') AS purchase,
+        count(*) FILTER (action = 'ignore') AS ignore, count(*) FILTER (action = 'rate') AS rate,
+        count(*) FILTER (action NOT IN ('click', 'purchase', 'ignore', 'rate') OR action IS NULL) AS other
+        FROM fb GROUP BY ALL""",
     "recent_predictions": f"""SELECT strftime(timestamp, {_STAMP}) AS timestamp, user_id, variant,
         round(latency_ms, 6) AS latency_ms, array_to_string(items[1:5], ', ') AS items
         FROM preds ORDER BY preds.timestamp DESC, event_id DESC LIMIT 10""",
@@ -712,6 +728,13 @@ BODIES: dict[str, str] = {
         UNION ALL SELECT 'feedback_total', '', '', action, '', count(*) FROM fb GROUP BY ALL
         UNION ALL SELECT 'errors_total', '', '', '', '/recommend', count(*) FROM ev
           WHERE event_type = 'error' GROUP BY ALL""",
+    "shared_event_counters": """SELECT 'recommend_total' AS counter, CASE WHEN
+          CAST('0x' || substr(md5(uid), 1, 8) AS BIGINT) % 100 < 50 THEN 'B' ELSE 'A' END AS variant,
+          CASE WHEN event_type = 'error' THEN 'error' ELSE 'ok' END AS status, '' AS action, '' AS endpoint,
+          count(*) AS value FROM ev GROUP BY ALL
+        UNION ALL SELECT 'feedback_total', '', '', action, '', count(*) FROM fb GROUP BY ALL
+        UNION ALL SELECT 'errors_total', '', '', '', '/recommend', count(*) FROM ev
+          WHERE event_type = 'error' GROUP BY ALL""",
     "latency_histogram": _histogram("preds", "(latency_ms / 1000.0::DOUBLE)", "variant", _LATENCY),
     "score_histogram": _histogram(
         "(SELECT variant, CAST(unnest(items) AS DOUBLE) / 20.0::DOUBLE AS score FROM preds)",

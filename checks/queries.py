@@ -17,6 +17,7 @@ from ranklight.operators import features as feat
 from ranklight.operators import interactions as prep
 from ranklight.operators import lists
 from ranklight.operators import similarity as sim
+from ranklight.operators.bounded import best_products_bounded
 from ranklight.operators.collaborative import (
     als_fit,
     als_score_pairs,
@@ -31,6 +32,7 @@ from ranklight.operators.ranker import (
     feature_importance,
     rerank,
 )
+from ranklight.operators.sketches import distinct_estimates, merged_sketches, sketch_columns
 from ranklight.plans import serving, training
 from ranklight.plans.drift_report import analyze_prediction_drift
 from ranklight.plans.prepare import prepare_interactions as run_preparation
@@ -346,6 +348,25 @@ def split_integrity(spark, sf):
     return _on_both_splits(prep.split_integrity, spark, sf)
 
 
+@query
+def distinct_counts_sketched(spark, sf):
+    """Users and items of the prepared rows, from the stored sketches of two batches; exact beside."""
+    rows = b.clean(spark, sf)
+    late = F.col("timestamp") % 2 == 0
+    day = F.to_date(F.timestamp_millis("timestamp"))
+    stored = [settle(sketch_columns(rows.filter(x), ["user_id", "item_id"], day), "sketches") for x in (late, ~late)]
+    exact = reduce(
+        DataFrame.unionByName,
+        [
+            rows.agg(F.lit(c).alias("column"), F.count_distinct(c).alias("exact"))
+            for c in ("user_id", "item_id")
+        ],
+    )
+    both = distinct_estimates(merged_sketches(*stored)).join(exact, "column")
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= 0.02 * F.col("exact")
+    return both.select("column", "rows", "exact", near.alias("near"))
+
+
 @query
 def dataset_summary(spark, sf):
     return prep.dataset_summary(b.clean(spark, sf), *b.train_test(spark, sf))
@@ -735,6 +756,19 @@ def item_neighbours(spark, sf):
     return sim.item_neighbours(b.item_vectors(spark, sf), 10)
 
 
+@query
+def item_products_bounded(spark, sf):
+    """Largest products with vectors as long as their item is popular: norms rule most items out."""
+    met = b.train(spark, sf).groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
+    vectors = b.item_vectors(spark, sf)
+    weight = F.log1p(F.coalesce(F.col("n"), F.lit(0)).cast("double"))
+    scaled = F.transform("embedding", lambda x: x.cast("double") * F.col("weight"))
+    items = vectors.join(met, "item_id", "left").withColumn("weight", weight).withColumn("vector", scaled)
+    asked = vectors.select(F.col("item_id").alias("id"), F.col("embedding").alias("vector"))
+    found = best_products_bounded(asked, items.select(F.col("item_id").alias("id"), "vector"), 10)
+    return found.best.select(F.col("query_id").alias("asked_id"), "item_id", "score", "rank")
+
+
 def _list_search(spark, sf) -> DataFrame:
     """One row: recall of the list search, compared share of the item pairs, products with centres."""
     vectors = b.item_vectors(spark, sf)
@@ -1104,6 +1138,11 @@ def feedback_hourly(spark, sf):
     return monitoring.feedback_hourly(b.feedback(spark, sf))
 
 
+@query
+def feedback_hourly_wide(spark, sf):
+    return monitoring.feedback_hourly_wide(b.feedback(spark, sf), ["click", "purchase", "ignore", "rate"])
+
+
 @query
 def recent_predictions(spark, sf):
     return monitoring.recent_predictions(b.predictions(spark, sf), ties=["event_id"])
@@ -1126,6 +1165,20 @@ def event_counters(spark, sf):
     return counted.na.fill("", ["variant", "status", "action", "endpoint"])
 
 
+@query
+def shared_event_counters(spark, sf):
+    """All events are requests, some are feedback, failed ones are errors: one log."""
+    kind = F.col("event_type")
+    log = b.requests(spark, sf).select(
+        "variant",
+        "status",
+        F.when(kind == "signup", "ignore").when(kind.isin("click", "purchase"), kind).alias("action"),
+        F.when(F.col("failed"), "/recommend").alias("endpoint"),
+    )
+    counted = monitoring.shared_event_counters(log)
+    return counted.na.fill("", ["variant", "status", "action", "endpoint"])
+
+
 @query
 def latency_histogram(spark, sf):
     return monitoring.latency_histogram(b.predictions(spark, sf))

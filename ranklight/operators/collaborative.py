@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ranklight.functions.vectors import dot
 from ranklight.operators.blocks import ROWS_PER_BLOCK, best_products
+from ranklight.operators.bounded import best_products_bounded
 from ranklight.operators.features import (
     confidence_matrix,
     drop_null_ratings,
@@ -117,8 +118,13 @@ def als_top_n(
     exclude_seen: bool = True,
     users: DataFrame | None = None,
     rows_per_block: int = ROWS_PER_BLOCK,
+    bounded: bool = False,
 ) -> DataFrame:
-    """Rows ``user_id, item_id, score, rank`` for all (or the given) known users at once."""
+    """Rows ``user_id, item_id, score, rank`` for all (or the given) known users at once.
+
+    ``bounded`` skips items whose norm rules them out (see ``bounded``): the same rows in
+    several jobs, for catalogues whose factors differ much in length.
+    """
     if n <= 0:
         raise ValueError(f"n must be positive, got {n}")
     factors, seen = model.user_factors, model.train.select("user_id", "item_id")
@@ -126,7 +132,8 @@ def als_top_n(
         wanted = users.select("user_id").distinct()
         factors = factors.join(wanted, "user_id", "left_semi")
         seen = seen.join(wanted, "user_id", "left_semi")
-    best = best_products(
+    search = (lambda *a, **k: best_products_bounded(*a, **k).best) if bounded else best_products
+    best = search(
         factors.select(F.col("user_id").alias("id"), "vector"),
         model.item_factors.select(F.col("item_id").alias("id"), "vector"),
         n,

@@ -68,6 +68,22 @@ def feedback_hourly(feedback: DataFrame) -> DataFrame:
     return timed.groupBy(hour, action).agg(F.count(F.lit(1)).alias("events"))
 
 
+def feedback_hourly_wide(feedback: DataFrame, actions: Sequence[str]) -> DataFrame:
+    """``hour`` and one count column for each of ``actions``, 0 where it does not occur.
+
+    The columns are fixed beforehand, so an action that never occurs is there and no job looks for the
+    values first; other actions and null are counted in ``other``.
+    """
+    if "other" in actions or "hour" in actions:
+        raise ValueError("actions cannot be named hour or other")
+    timed = feedback.filter(F.col("logged_at").isNotNull())
+    known = F.coalesce(F.col("action").isin(*actions), F.lit(False))
+    return timed.groupBy(F.date_trunc("hour", "logged_at").alias("hour")).agg(
+        *[F.count_if(F.col("action") == a).alias(a) for a in actions],
+        F.count_if(~known).alias("other"),
+    )
+
+
 def _recent(df: DataFrame, time: str, ties: Sequence[str], n: int) -> DataFrame:
     # Rows without a time sort last in the log, so the newest rows include them.
     last = df.orderBy(F.desc_nulls_first(time), *[F.desc(t) for t in ties]).limit(n)
@@ -114,6 +130,26 @@ def event_counters(requests: DataFrame, feedback: DataFrame, errors: DataFrame)
     )
 
 
+def shared_event_counters(log: DataFrame) -> DataFrame:
+    """``event_counters`` of one log that holds requests, feedback and errors, read once.
+
+    ``log`` has variant, status, action and endpoint. Rows with a status are requests, rows with
+    an action feedback, rows with an endpoint errors; a row may be several of them. Requests, feedback
+    and errors are three grouping sets of one Expand, so that the log is aggregated in one pass.
+    """
+    labels = ["variant", "status", "action", "endpoint"]
+    sets = [["variant", "status"], ["action"], ["endpoint"]]
+    # A label outside of a set and a label that is null are told apart by the grouping bits.
+    of_requests, of_feedback = F.grouping("status") == 0, F.grouping("action") == 0
+    counter = (
+        F.when(of_requests, "recommend_total").when(of_feedback, "feedback_total").otherwise("errors_total")
+    )
+    told = F.when(of_requests, F.col("status")).when(of_feedback, F.col("action")).otherwise(F.col("endpoint"))
+    counted = log.select(*[F.col(c).cast("string").alias(c) for c in labels]).groupingSets(sets, *labels)
+    rows = counted.agg(counter.alias("counter"), F.count(F.lit(1)).alias("value"), told.alias("_told"))
+    return rows.filter(F.col("_told").isNotNull()).select("counter", *labels, "value")
+
+
 def histogram_columns(value: Column, bounds: Sequence[float]) -> list[Column]:
     """Cumulative count per upper bound and above all, plus sum and count, as one struct list."""
     value = finite(value)

@@ -213,3 +213,33 @@ def test_chi_square_tail(spark, statistic, degrees, p):
 
     row = spark.range(1).select(chi_square_p(F.lit(statistic), F.lit(degrees)).alias("p")).first()
     assert row["p"] == pytest.approx(p, abs=0.01)
+
+
+def test_one_pass_counters_equal_those_of_three_logs(spark):
+    rows = [
+        ("A", "ok", None, None),
+        ("A", "error", None, "/recommend"),
+        ("B", "ok", "click", None),
+        (None, "ok", "click", None),
+        (None, None, "ignore", None),
+        (None, None, None, None),
+    ]
+    log = spark.createDataFrame(rows, "variant string, status string, action string, endpoint string")
+    apart = monitoring.event_counters(
+        log.filter("status IS NOT NULL"), log.filter("action IS NOT NULL"), log.filter("endpoint IS NOT NULL")
+    )
+    shared = monitoring.shared_event_counters(log)
+    assert sorted(map(str, shared.collect())) == sorted(map(str, apart.collect()))
+    assert monitoring.shared_event_counters(log.limit(0)).count() == 0
+    plan = shared._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand") == 1 and plan.count("Union") == 0
+
+
+def test_hourly_columns_hold_every_action(spark):
+    rows = [("2024-01-01 10:05:00", "click"), ("2024-01-01 10:55:00", None), ("2024-01-01 11:00:00", "share"), (None, "click")]
+    log = spark.createDataFrame(rows, "at string, action string").selectExpr("CAST(at AS TIMESTAMP) AS logged_at", "action")
+    wide = monitoring.feedback_hourly_wide(log, ["click", "ignore"])
+    assert wide.columns == ["hour", "click", "ignore", "other"]
+    assert sorted(tuple(r)[1:] for r in wide.collect()) == [(0, 0, 1), (1, 0, 1)]
+    with pytest.raises(ValueError):
+        monitoring.feedback_hourly_wide(log, ["other"])
