@@ -22,8 +22,10 @@ def hashed_sample(rows: DataFrame, limit: int, seed: int = 7) -> DataFrame:
     return drawn.orderBy("_draw").limit(limit).drop("_draw").repartition(16)
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, fold: Column) -> DataFrame:
-    """doc_id, text and ``label`` (0 or 1) of the labelled documents in the learning fold.
+def labelled_rows(
+    docs: DataFrame, labels: DataFrame, label: str, fold: Column, column: str = "text"
+) -> DataFrame:
+    """doc_id, text (or another ``column``) and ``label`` (0 or 1) of the labelled documents in the learning fold.
 
     Null labels and ids are left out; of several labels for one id the largest counts.
     """
@@ -32,5 +34,5 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, fold: Column)
         .groupBy(F.col("doc_id").alias("_id"))
         .agg(F.max(label).cast("int").alias("_label"))
     )
-    found = docs.select("doc_id", "text").filter(fold).join(known, F.col("doc_id") == F.col("_id"))
-    return found.select("doc_id", "text", F.col("_label").alias("label"))
+    found = docs.select("doc_id", column).filter(fold).join(known, F.col("doc_id") == F.col("_id"))
+    return found.select("doc_id", column, F.col("_label").alias("label"))

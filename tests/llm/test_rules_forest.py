@@ -1,6 +1,7 @@
 """The forest's path lengths beside a walk by hand, and odd texts that only some of the rules show."""
 
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -51,3 +52,36 @@ def test_odd_texts_are_dropped_and_good_ones_kept(spark):
     ]
     found = isolation.apply_rules(spark.createDataFrame(odd, "doc_id long, text string"), forest).collect()
     assert [(r["base_failed"], r["kept"]) for r in sorted(found)] == [(False, False)] * 3
+
+
+def test_all_rows_grow_the_forest_and_set_the_threshold(spark):
+    draw = random.Random(4)
+    texts = [" ".join(words(draw, draw.randint(25, 90))) for _ in range(500)]
+    texts = [t.upper().replace(" ", "!! ") if i % 4 == 0 else t for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(0, 500, 3)], "doc_id long, quality int")
+    rows = isolation.measured_rows(docs).filter("NOT base_failed").toPandas()
+    x = np.stack(rows["x"].to_list())
+    assert len(x) > 256
+    forest = isolation.fit_rules(docs, labels, trees=6)
+    assert forest.usual == pytest.approx(float(isolation._expected_path(len(x))))
+    for feature, cut, depth in zip(forest.feature, forest.cut, forest.depth):
+        waiting, taken = [(0, np.arange(len(x)))], 0
+        while waiting:
+            node, own = waiting.pop()
+            level, f = int(np.log2(node + 1)), feature[node]
+            if f < 0:
+                taken += len(own)
+                assert depth[node] == pytest.approx(level + float(isolation._expected_path(len(own))))
+                assert level == 8 or len(own) == 1 or (x[own].min(0) == x[own].max(0)).all()
+                continue
+            right = x[own, f] >= cut[node]
+            assert 0 < right.sum() < len(own)
+            waiting += [(2 * node + 1, own[~right]), (2 * node + 2, own[right])]
+        assert taken == len(x)
+    quality = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    learnt = np.array([zlib.crc32(str(i).encode()) % 3 != 1 and i in quality for i in rows["doc_id"]])
+    good = np.array([quality[i] == 1 for i in rows["doc_id"][learnt]])
+    assert forest.threshold == pytest.approx(isolation.calibrate(forest.anomaly(x[learnt]), good), abs=1e-12)
+    again = isolation.fit_rules(docs.repartition(5, "text"), labels, trees=6)
+    assert (again.cut == forest.cut).all() and (again.depth == forest.depth).all()
