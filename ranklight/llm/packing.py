@@ -8,9 +8,7 @@ packed once more together.
 
 from __future__ import annotations
 
-import os
 import zlib
-from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -20,72 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from ranklight.llm.common import parts_for, pieces, texts_of
+from ranklight.llm.common import parts_for, pieces
+from ranklight.llm.tokens import text_ids, word_ids
 from ranklight.session import settle
 
 END_ID = 1
-_KNOWN_WORDS = 600_000
-
-
-class _WordIds(dict):
-    """Little-endian 32-bit ids of each word; ``extra`` holds those there is no room to keep.
-
-    The vocabulary never joins text across white space, so words can be encoded apart; nor does it
-    join a letter with punctuation after it, and it lower-cases, so the stems of words stand for
-    many forms.
-    """
-
-    def __init__(self, content: str):
-        super().__init__()
-        self.tokenizer = Tokenizer.from_str(content)
-        self.extra: dict[bytes, bytes] = {}
-
-    def __missing__(self, word: bytes) -> bytes:
-        return self.extra[word]
-
-    def learn(self, words: set[bytes]) -> None:
-        """Encode the words of a piece of text that are not known."""
-        new = {w: _stem(w) for w in words if w not in self}
-        parts = {p for found in new.values() for p in found if p not in self}
-        ordered = sorted(parts)
-        encoded: dict[bytes, bytes] = {}
-        for start in range(0, len(ordered), 10_000):
-            some = ordered[start : start + 10_000]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            encoded.update((w, array("I", e.ids).tobytes()) for w, e in zip(some, found))
-        self.extra = {}
-        into = self if len(self) + len(encoded) + len(new) <= _KNOWN_WORDS else self.extra
-        into.update(encoded)
-        joined = {w: b"".join(map(self.__getitem__, p)) for w, p in new.items() if p != (w,)}
-        into.update(joined)
-
-
-_PUNCTUATION = b".,!?:;*$%&#|"
-_IDS: dict[int, _WordIds] = {}  # of this Python worker, by vocabulary
-
-
-def _word_ids(content: str) -> _WordIds:
-    key = zlib.crc32(content.encode())
-    if key not in _IDS:
-        _IDS.clear()
-        _IDS[key] = _WordIds(content)
-    return _IDS[key]
-
-
-def _stem(word: bytes) -> tuple[bytes, ...]:
-    """The word cut before the punctuation at its end, if letters stand there, and in lower case."""
-    stem = word.rstrip(_PUNCTUATION)
-    if not stem:
-        return (word,)
-    if len(stem) < len(word):
-        last = stem[-1]
-        if not (97 <= last <= 122 or 65 <= last <= 90 or (last >= 128 and stem.decode()[-1].isalpha())):
-            return (word,)
-    # Only A to Z: other letters are left to the vocabulary's own rules.
-    lowered = stem.lower() if stem.isascii() and b"<|" not in stem else stem
-    return (lowered, word[len(stem) :]) if len(stem) < len(word) else (lowered,)
 
 
 def piece_rows(ids: bytes, length: int) -> list[tuple[int, int, int, int]]:
@@ -109,14 +47,11 @@ def document_pieces(docs: DataFrame, vocabulary: str, length: int = 4096) -> Dat
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        known = _word_ids(content.value)
+        known = word_ids(content.value)
         for batch in pieces(batches, "text", 4 << 20):
-            split = [t.split() for t in texts_of(batch.column("text"))]
-            known.learn(set().union(*split))
             rows, source = [], []
-            for i, words in enumerate(split):
-                own = piece_rows(b"".join(map(known.__getitem__, words)) + end, length)
+            for i, ids in enumerate(text_ids(known, batch.column("text"))):
+                own = piece_rows(ids.astype("<u4").tobytes() + end, length)
                 rows += own
                 source += [i] * len(own)
             columns = [pa.array(c, t) for c, t in zip(zip(*rows), _PIECE_TYPES)]

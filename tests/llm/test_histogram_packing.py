@@ -1,5 +1,6 @@
 """Packing by combinations of lengths: exact round trips, no padding, few cuts."""
 
+import random
 import zlib
 
 import numpy as np
