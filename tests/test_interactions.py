@@ -150,3 +150,11 @@ def test_days_of_seconds_and_milliseconds_never_fall(spark):
     df = spark.createDataFrame([(t,) for t in times], "t long")
     days = [r["d"] for r in df.orderBy("t").select(prep.day_bucket(F.col("t")).alias("d")).collect()]
     assert days == sorted(days) and days[-1] == days[-2] + 1 and days[:3] == [0, 0, 1]
+
+
+def test_filters_count_rows_without_time_or_rating(spark):
+    kind = "user_id int, item_id int, rating double, timestamp long, line int, note string"
+    holed = spark.createDataFrame([(u, i, None, None, i, "") for u in range(5) for i in range(5)], kind)
+    found = prep.preprocess(holed, 5, ("line",))
+    assert found.columns == ["user_id", "item_id", "rating", "timestamp"] and found.count() == 25
+    assert prep.preprocess(holed, 6, ("line",)).count() == 0

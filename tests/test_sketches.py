@@ -38,3 +38,24 @@ def test_empty_and_null(spark):
     assert estimates(empty) == {}
     nulls = spark.createDataFrame([(None,), (None,), ("a",)], "item string")
     assert estimates(sketch_columns(nulls, ["item"])) == {"item": (3, 1)}
+
+
+def test_prepared_rows_are_computed_once(spark, monkeypatch):
+    from checks import bindings, queries
+
+    met = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            met.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(600).selectExpr("id % 40 AS user_id", "id % 30 AS item_id", "1.0D AS rating", "id AS timestamp")
+    monkeypatch.setattr(bindings, "clean", lambda *_: rows.mapInArrow(counted, rows.schema))
+    found = {r["column"]: (r["rows"], r["exact"], r["near"]) for r in queries.QUERIES["distinct_counts_sketched"](spark, "").collect()}
+    assert found == {"user_id": (600, 40, True), "item_id": (600, 30, True)}
+    assert met.value == 600
+
+
+def test_exchanges_go_when_their_job_ends(spark):
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
